@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .language_id import held_out, identify_languages, train_languages
 from .piece_codec import encode_pieces
+from .trie_join import jaccard_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,5 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_piece_codec, op6_language_id)}
+def op9_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles are similar to 0.75 or more."""
+    return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_piece_codec, op6_language_id, op9_trie_join)}
 ORACLES: dict[str, str] = {}
