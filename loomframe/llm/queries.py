@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chain_dedup import repeated_passages
+from .decontaminate import find_items
 from .language_id import held_out, identify_languages, train_languages
 from .piece_codec import encode_pieces
 from .trie_join import jaccard_components
@@ -38,10 +40,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat an earlier one, with the document that has it first."""
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain."""
+    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 5-word shingles are similar to 0.75 or more."""
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_piece_codec, op6_language_id, op9_trie_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_piece_codec, op6_language_id, op7_chain_dedup, op9_trie_join, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
