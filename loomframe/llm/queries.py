@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from .chain_dedup import repeated_passages
 from .decontaminate import find_items
 from .language_id import held_out, identify_languages, train_languages
+from .license_scan import find_notices
 from .piece_codec import encode_pieces
 from .trie_join import jaccard_components
+from .url_filter import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,20 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+#: Rules of query op3: verdict, and domain with the start of the path.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the url of every page."""
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return find_notices(_table(spark, sf_dir, "documents"))
+
+
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of the ids and of the decoded text."""
     coded = encode_pieces(_table(spark, sf_dir, "documents"), piece_model())
@@ -55,5 +71,5 @@ def op9_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_piece_codec, op6_language_id, op7_chain_dedup, op9_trie_join, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_url_filter, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
