@@ -12,6 +12,7 @@ from .decontaminate import find_items
 from .language_id import held_out, identify_languages, train_languages
 from .license_scan import find_notices
 from .piece_codec import encode_pieces
+from .syncmers import fingerprint_edits
 from .trie_join import jaccard_components
 from .url_filter import judge_urls
 
@@ -27,6 +28,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited copies, and how near these are."""
+    return fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 #: Rules of query op3: verdict, and domain with the start of the path.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -71,5 +77,5 @@ def op9_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_url_filter, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_syncmers, op3_url_filter, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
