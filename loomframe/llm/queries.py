@@ -12,6 +12,7 @@ from .decontaminate import find_items
 from .language_id import held_out, identify_languages, train_languages
 from .license_scan import find_notices
 from .piece_codec import encode_pieces
+from .pitman_yor import score_texts
 from .syncmers import fingerprint_edits
 from .trie_join import jaccard_components
 from .url_filter import judge_urls
@@ -47,6 +48,13 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_notices(_table(spark, sf_dir, "documents"))
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a model of six sevenths of them."""
+    out = held_out("doc_id", 7, 2)
+    scored = score_texts(_table(spark, sf_dir, "documents"), ~out)
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of the ids and of the decoded text."""
     coded = encode_pieces(_table(spark, sf_dir, "documents"), piece_model())
@@ -77,5 +85,5 @@ def op9_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_syncmers, op3_url_filter, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_syncmers, op3_url_filter, op4_pitman_yor, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
