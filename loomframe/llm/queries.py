@@ -13,6 +13,7 @@ from .language_id import held_out, identify_languages, train_languages
 from .license_scan import find_notices
 from .piece_codec import encode_pieces
 from .pitman_yor import score_texts
+from .suffix_dedup import remove_repeats
 from .syncmers import fingerprint_edits
 from .trie_join import jaccard_components
 from .url_filter import judge_urls
@@ -29,6 +30,12 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that occur elsewhere too."""
+    kept = remove_repeats(_table(spark, sf_dir, "documents"), 400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited copies, and how near these are."""
     return fingerprint_edits(_table(spark, sf_dir, "documents"))
@@ -85,5 +92,5 @@ def op9_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_syncmers, op3_url_filter, op4_pitman_yor, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_syncmers, op3_url_filter, op4_pitman_yor, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
