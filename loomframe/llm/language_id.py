@@ -130,20 +130,20 @@ def train_languages(docs: DataFrame, text: str = "text", lang: str = "lang", smo
     return LanguageModel(rows["lang"].tolist(), table.astype(np.float32))
 
 
-def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns of ``keep``, then lang_pred (string) and score (double, the language's share of the text's words).
+def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns of ``keep``, then two of these ``names``: the language (string) and its share of the text's words (double).
 
     A null text, one without a letter, or a model without languages gives ``und`` and 0. Texts are judged whole; nothing
     but the text is looked at; ties go to the language that sorts first. Repeated rows get equal results, an empty table
     none, and other columns aren't read. One pass, no shuffle; the model's size is bounded (see ``LANGUAGES``).
     """
     kept = [docs.schema[c] for c in keep]
-    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*kept, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        names = np.array([*model.languages, UNDETERMINED], object)
+        known = np.array([*model.languages, UNDETERMINED], object)
         for batch in batches:
             best, share = [], []
             has_letter = np.array(batch.column(len(keep) + 1).to_pylist(), bool)
@@ -156,7 +156,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text"
             best, share = np.concatenate(best), np.concatenate(share)
             none = ~has_letter | (share <= 0)
             best[none], share[none] = len(model.languages), 0.0
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(names[best], pa.string()), pa.array(np.clip(share, 0, 1))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(known[best], pa.string()), pa.array(np.clip(share, 0, 1))], names=schema.names)
 
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter")
     return docs.select(*keep, text, letters).mapInArrow(run, schema)
