@@ -154,3 +154,21 @@ def uniform_sample(start: Column, end: Column, n: int) -> Column:
 def last_known(value: Column, window: Window) -> Column:
     """The last value before this row that isn't null."""
     return F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+
+def semantic_frames(events: DataFrame, seeds: int = 4, margin: int = 4) -> DataFrame:
+    """episode, frame, purpose: seeds spread before closing, and the middles of the later phases; seeds win a frame."""
+    c = F.col
+    seed = F.transform(uniform_sample(F.lit(0), F.greatest(F.lit(0), c("close_start") - margin), seeds), lambda f: F.struct(f.alias("frame"), F.lit(0).alias("rank"), F.lit("seed").alias("purpose")))
+    context = F.array(
+        F.struct(F.floor((c("close_done") + c("open_start")) / 2).cast("int").alias("frame"), F.lit(1).alias("rank"), F.lit("transport").alias("purpose")),
+        F.struct(c("open_done").cast("int").alias("frame"), F.lit(2).alias("rank"), F.lit("placement").alias("purpose")),
+    )
+    rows = events.select("episode", F.inline(F.concat(seed, context)))
+    return rows.groupBy("episode", "frame").agg(F.min_by("purpose", "rank").alias("purpose"))
+
+
+def keyframes(events: DataFrame, first_seen: str | None = None) -> DataFrame:
+    """episode, frames: the first frame in view, then the events' frames, each once in that order."""
+    names = [n for n in (first_seen, "close_start", "close_done", "open_start", "open_done") if n]
+    return events.select("episode", F.array_distinct(F.array_compact(F.array(*names))).alias("frames"))

@@ -499,3 +499,128 @@ def stream_ready_gate(spark, d):
 def stream_tumbling(spark, d):
     t = run_state.tumbling(run_state.receipts(spark, d)).select(c("w.start").cast("timestamp_ntz").alias("starts"), "status", "receipts")
     return run_state.finished(t, _state_folder(spark))
+
+
+# --- sources, sinks and decisions
+
+from ..operators import decisions  # noqa: E402
+from ..sources import episodes, sinks  # noqa: E402
+
+
+@query("""WITH l AS (SELECT l_orderkey AS episode, CASE l_linenumber % 3 WHEN 0 THEN 'video' WHEN 1 THEN 'data' ELSE 'sidecar' END AS kind, CASE WHEN l_orderkey % 50 = 0 THEN 99 ELSE l_orderkey // 1000 END AS chunk FROM lineitem WHERE l_linenumber <= 4),
+g AS (SELECT episode, count(CASE WHEN kind = 'data' THEN 1 END) AS states, max(CASE WHEN kind = 'data' THEN chunk END) AS chunk, bool_or(kind = 'video') AS v, bool_or(kind = 'sidecar') AS s FROM l GROUP BY 1)
+SELECT episode, chunk, concat_ws(',', CASE WHEN NOT v THEN 'video' END, CASE WHEN NOT s THEN 'sidecar' END) AS missing, CASE WHEN states > 1 THEN 'duplicate' WHEN chunk <> episode // 1000 THEN 'wrong_chunk' WHEN NOT (v AND s) THEN 'incomplete' END AS reason FROM g WHERE states > 0""")
+def episode_discovery(spark, d):
+    n = c("l_linenumber") % 3
+    kind = F.when(n == 0, "video").when(n == 1, "data").otherwise("sidecar")
+    chunk = F.when(c("l_orderkey") % 50 == 0, 99).otherwise(F.floor(c("l_orderkey") / 1000))
+    paths = src.table(spark, d, "lineitem").where("l_linenumber <= 4").select(F.format_string("/d/%s/chunk-%03d/episode_%06d.bin", kind, chunk.cast("bigint"), c("l_orderkey")).alias("path"))
+    return episodes.discovered(paths)
+
+
+@query("""WITH s AS (SELECT user_id AS episode, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame, event_id FROM events), k AS (SELECT episode, frame FROM s WHERE event_id % 60 <> 7)
+SELECT episode, count(*) AS frames, min(frame) AS low, max(frame) AS high, count(DISTINCT frame) AS distinct_frames FROM k GROUP BY 1 HAVING min(frame) <> 0 OR max(frame) <> count(*) - 1 OR count(DISTINCT frame) <> count(*)""")
+def frame_violations(spark, d):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    s = src.table(spark, d, "events").select(c("user_id").alias("episode"), (F.row_number().over(w) - 1).alias("frame"), "event_id")
+    return episodes.frame_violations(s.where("event_id % 60 <> 7"))
+
+
+@query("SELECT label::BIGINT AS episode, vec_id AS frame, unnest(['left', 'right']) AS arm, unnest([embedding[7], embedding[14]])::DOUBLE AS grip, round(unnest([list_sum(embedding[1:6]::DOUBLE[]), list_sum(embedding[8:13]::DOUBLE[])]), 6) AS eef_sum FROM embeddings")
+def arm_signals(spark, d):
+    s = src.table(spark, d, "embeddings").select(c("label").cast("bigint").alias("episode_index"), c("vec_id").alias("frame_index"), F.slice("embedding", 1, 14).cast("array<double>").alias("observation.state"))
+    return episodes.arm_signals(s).select("episode", "frame", "arm", "grip", F.round(F.aggregate("eef", F.lit(0.0), lambda a, x: a + x), 6).alias("eef_sum"))
+
+
+@query("SELECT user_id AS episode, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY 1")
+def last_lines(spark, d):
+    return episodes.last_lines(src.table(spark, d, "events").select(c("user_id").alias("episode"), "event_type", "event_id"), "episode", "event_id")
+
+
+@query("SELECT o_orderkey AS id, '/r/data/chunk-' || lpad((o_orderkey // 1000)::VARCHAR, 3, '0') || '/episode_' || lpad(o_orderkey::VARCHAR, 6, '0') || '.parquet' AS path FROM orders")
+def path_resolution(spark, d):
+    return src.table(spark, d, "orders").select(c("o_orderkey").alias("id"), episodes.chunk_path("/r", "data", c("o_orderkey"), "parquet").alias("path"))
+
+
+@query("SELECT s_suppkey AS id, s_suppkey::INT AS index, CASE WHEN s_suppkey % 9 <> 0 THEN (s_suppkey * 700)::INT END AS free FROM supplier")
+def inventory(spark, d):
+    free = F.when(c("s_suppkey") % 9 == 0, "n/a").otherwise((c("s_suppkey") * 700).cast("string"))
+    line = F.concat_ws(", ", c("s_suppkey").cast("string"), c("s_name"), free, F.lit("80000"), F.lit("5"))
+    return src.table(spark, d, "supplier").select(c("s_suppkey").alias("id"), episodes.inventory(line).alias("d")).select("id", "d.index", "d.free")
+
+
+@query("WITH o AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'new' WHEN p_partkey % 7 = 0 THEN 'conflict' ELSE 'same' END AS k FROM part) SELECT id, k AS outcome FROM o WHERE k <> 'same'")
+def write_once(spark, d):
+    new = src.table(spark, d, "part").select(c("p_partkey").alias("id"), "p_name", "p_size")
+    old = new.where("id % 3 <> 0").withColumn("p_size", F.when(c("id") % 7 == 0, c("p_size") + 1).otherwise(c("p_size")))
+    fresh, conflicts = sinks.write_once(new, old, "id", ("p_name", "p_size"))
+    return fresh.select("id", F.lit("new").alias("outcome")).unionByName(conflicts.select("id", F.lit("conflict").alias("outcome")))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 <> 2 THEN user_id::INT END AS episode, CASE WHEN event_id % 3 = 0 THEN (event_id % 10)::INT END AS done, CASE WHEN event_id % 3 = 0 THEN 10 END AS total FROM events")
+def progress_lines(spark, d):
+    e, k = src.table(spark, d, "events"), c("event_id") % 3
+    line = F.when(k == 0, F.format_string('{"episode": %d, "progress": "%d/10"}', "user_id", c("event_id") % 10)).when(k == 1, F.format_string('{"episode": %d, "progress": "half"}', "user_id")).otherwise(F.lit("plain text"))
+    episode, done, total = text.progress(line)
+    return e.select("event_id", episode.alias("episode"), done.alias("done"), total.alias("total"))
+
+
+@query("""SELECT l_orderkey AS id, l_linenumber AS n, CASE WHEN l_quantity <= 2 THEN 'empty_seed' WHEN l_linenumber = 5 THEN 'empty_track' WHEN l_discount > 0.08 THEN 'quarantined' WHEN l_returnflag = 'R' THEN 'identity_rejected' ELSE 'ok' END AS status FROM lineitem""")
+def role_verdict(spark, d):
+    li = src.table(spark, d, "lineitem")
+    status = decisions.role_verdict(c("l_quantity") - 2, F.when(c("l_linenumber") == 5, 0).otherwise(1), F.when(c("l_discount") > 0.08, "quarantine"), F.when(c("l_returnflag") == "R", "reject"))
+    return li.select(c("l_orderkey").alias("id"), c("l_linenumber").alias("n"), status.alias("status"))
+
+
+_ROLE = "CASE WHEN l_orderkey % 11 = 0 THEN 'not_applicable' WHEN l_linestatus = 'O' THEN 'valid' WHEN l_quantity > 45 THEN 'quarantined' WHEN l_quantity > 40 THEN 'failed' WHEN l_tax < 0.06 THEN 'valid' ELSE 'pending' END"
+
+
+@query(f"""WITH r AS (SELECT l_orderkey AS id, {_ROLE} AS s FROM lineitem) SELECT id, CASE WHEN bool_and(s = 'not_applicable') THEN 'not_applicable' WHEN bool_and(s IN ('not_applicable', 'valid')) THEN 'completed' WHEN bool_or(s = 'quarantined') THEN 'quarantined' WHEN bool_or(s = 'failed') THEN 'failed' ELSE 'incomplete' END AS publication FROM r GROUP BY 1""")
+def publication_status(spark, d):
+    return decisions.publication(src.table(spark, d, "lineitem").select(c("l_orderkey").alias("id"), F.expr(_ROLE).alias("status")), "id")
+
+
+@query("SELECT conv_id AS id, turn, CASE WHEN length(text) % 13 = 0 THEN 'error' WHEN length(text) % 3 = 0 THEN 'rejected' WHEN length(text) % 3 = 1 OR turn < 2 THEN 'ambiguous' ELSE 'passed' END AS review FROM conversations")
+def visual_review(spark, d):
+    n = F.length("text")
+    decision = F.when(n % 3 == 0, "reject").when(n % 3 == 1, "unsure").otherwise("accept")
+    return src.table(spark, d, "conversations").select(c("conv_id").alias("id"), "turn", decisions.reviewed(decision, F.when(c("turn") < 2, 0.5).otherwise(0.9), F.when(n % 13 == 0, "parse")).alias("review"))
+
+
+@query(f"""WITH {_masks(0.0)}, n AS (SELECT *, lead(m, 1, m) OVER w AS b FROM mx {_W}), x AS (SELECT episode, frame, list_sum(list_transform(range(64), lambda i: m[i+1] * (1 - b[i+1]))) AS out FROM n) SELECT episode, frame, 'consistent' AS broken FROM x WHERE out > 0 AND frame % 2 = 0""")
+def subset_violations(spark, d):
+    w = sequence.by_frame()
+    m = src.mask_frames(spark, d).select("episode", "frame", c("mask").alias("visible"), c("mask").alias("consistent"), F.coalesce(F.lead("mask").over(w), c("mask")).alias("evaluable")).withColumn("amodal", c("evaluable"))
+    return decisions.subset_violations(m).where("frame % 2 = 0").select("episode", "frame", "broken")
+
+
+@query("""WITH j AS (SELECT l_returnflag AS run, l_quantity > 5 AS e, CASE WHEN l_linenumber = 3 THEN 0 ELSE l_quantity::BIGINT END AS v, l_discount > 0.02 AS a, l_tax AS jump FROM lineitem)
+SELECT run, count(*) AS frames, count(CASE WHEN e THEN 1 END) AS eligible, count(CASE WHEN e AND v > 0 THEN 1 END) AS eligible_nonempty, round(count(CASE WHEN e AND v > 0 THEN 1 END) / count(CASE WHEN e THEN 1 END), 6) AS fraction, sum(v)::BIGINT AS visible, count(CASE WHEN a THEN 1 END) AS accepted, round(max(jump), 6) AS max_jump FROM j GROUP BY 1""")
+def quality_summary(spark, d):
+    j = src.table(spark, d, "lineitem").select(c("l_returnflag").alias("run"), (c("l_quantity") > 5).alias("eligible"), F.when(c("l_linenumber") == 3, 0).otherwise(c("l_quantity").cast("bigint")).alias("visible"), (c("l_discount") > 0.02).alias("accepted"), c("l_tax").alias("jump"))
+    return decisions.quality_summary(j, "run")
+
+
+@query("""WITH a AS (SELECT o_orderkey AS id, o_totalprice AS x FROM orders WHERE o_orderkey % 9 <> 0), b AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS x FROM orders WHERE o_orderkey % 8 <> 0), j AS (SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'not_stored' WHEN b.id IS NULL THEN 'not_found' WHEN abs(a.x - b.x) > 1e-12 THEN 'x' ELSE '' END AS differs FROM a FULL JOIN b ON a.id = b.id) SELECT * FROM j WHERE differs <> ''""")
+def stored_differences(spark, d):
+    o = src.table(spark, d, "orders").select(c("o_orderkey").alias("id"), c("o_totalprice").alias("x"))
+    return decisions.stored_differences(o.where("id % 9 <> 0"), o.where("id % 8 <> 0").withColumn("x", F.when(c("id") % 10 == 1, c("x") + 1).otherwise(c("x"))), "id", ("x",))
+
+
+@query(f"""WITH {_runs(0.3, 0.9)}, e AS (SELECT * FROM s4 WHERE open_done IS NOT NULL), x AS (SELECT episode, CASE WHEN greatest(0, close_start - 4) = 0 THEN 0 ELSE round_even(i * greatest(0, close_start - 4) / 3.0::DOUBLE, 0)::INT END AS frame, 0 AS r, 'seed' AS p FROM e, range(4) t(i)
+UNION ALL SELECT episode, ((close_done + open_start) // 2)::INT, 1, 'transport' FROM e UNION ALL SELECT episode, open_done::INT, 2, 'placement' FROM e) SELECT episode, frame, arg_min(p, r) AS purpose FROM x GROUP BY 1, 2""")
+def semantic_frames(spark, d):
+    return sequence.semantic_frames(sequence.loop_events(src.signals(spark, d), closed_at=0.3).where("outcome = 'loop'"))
+
+
+@query(f"WITH {_runs(0.3, 0.9)} SELECT episode, array_to_string(list_distinct_in_order, ',') AS frames FROM (SELECT episode, list_filter([close_start, close_done, open_start, open_done], lambda x, i: list_position([close_start, close_done, open_start, open_done], x) = i) AS list_distinct_in_order FROM s4 WHERE open_done IS NOT NULL)")
+def keyframes(spark, d):
+    e = sequence.loop_events(src.signals(spark, d), closed_at=0.3).where("outcome = 'loop'")
+    return sequence.keyframes(e).select("episode", F.array_join(c("frames").cast("array<string>"), ",").alias("frames"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN 'Find the {color} {target} on {place}' WHEN 1 THEN 'Move {target}' ELSE 'no names' END AS s FROM part) SELECT id, array_to_string(list_filter(regexp_extract_all(s, '\\{(\\w+)\\}', 1), lambda x: x NOT IN ('target', 'color')), ',') AS unknown FROM t""")
+def prompt_placeholders(spark, d):
+    k = c("p_partkey") % 3
+    s = F.when(k == 0, "Find the {color} {target} on {place}").when(k == 1, "Move {target}").otherwise("no names")
+    return src.table(spark, d, "part").select(c("p_partkey").alias("id"), F.array_join(text.unknown_placeholders(s, ("target", "color")), ",").alias("unknown"))
