@@ -41,3 +41,20 @@ def grid(low: Column, high: Column, step: float) -> Column:
     n = F.floor((high - low) / step + 1e-9).cast("int")
     inner = F.transform(F.sequence(F.lit(0), n), lambda i: low + i * step)
     return F.when(F.abs(low + n * step - high) < 1e-9, inner).otherwise(F.array_append(inner, high))
+
+
+def chain(joints: list[tuple[list[Column], list[Column]]], point: list[Column]) -> list[Column]:
+    """A point of the last link in the first one's frame; joints are (roll, pitch, yaw) and offset, first to last."""
+    for angles, offset in reversed(joints):
+        point = transform(rotation(*angles), point, offset)
+    return point
+
+
+def visible(rendered: Column, scene: Column, tolerance: float) -> Column:
+    """Whether a rendered depth isn't hidden: the scene has no depth there or lies no more than ``tolerance`` before it."""
+    return rendered.isNotNull() & (rendered > 0) & (F.coalesce(scene, F.lit(0.0)) <= 0) | F.coalesce(rendered <= scene + tolerance, F.lit(False))
+
+
+def saturated_blue(red: Column, green: Column, blue: Column) -> Column:
+    """Whether a pixel is clearly blue."""
+    return (blue >= 80) & (blue - red >= 30) & (blue - green >= 20)

@@ -70,3 +70,22 @@ def progress(line: Column) -> tuple[Column, Column, Column]:
 def unknown_placeholders(template: Column, known: tuple[str, ...]) -> Column:
     """Placeholders of a template that aren't known."""
     return F.array_except(F.regexp_extract_all(template, F.lit(r"\{(\w+)\}"), 1), F.array(*map(F.lit, known)))
+
+
+def bank_reason(bank: Column, order: Column, required: str = "category") -> Column:
+    """Why a bank of queries (map of name to query) with an order of names is refused; null if it isn't.
+
+    The required name has a query, queries differ, the order names each query once, and the required one comes last.
+    """
+    named = F.map_keys(F.map_filter(bank, lambda k, v: v.isNotNull()))
+    queries = F.filter(F.map_values(bank), lambda v: v.isNotNull())
+    return (
+        F.when(~F.array_contains(named, required), "required").when(F.size(F.array_distinct(F.transform(queries, F.lower))) < F.size(queries), "repeated")
+        .when(F.array_sort(order) != F.array_sort(named), "order").when(F.element_at(order, -1) != required, "fallback_not_last")
+    )
+
+
+def repaired_order(order: Column, known: Column, last: str) -> Column:
+    """An order of names with repetitions and unknown names dropped, missing ones added, and ``last`` at the end."""
+    kept = F.filter(F.array_distinct(order), lambda x: F.array_contains(known, x))
+    return F.array_append(F.array_remove(F.concat(kept, F.array_except(known, kept)), last), F.lit(last))

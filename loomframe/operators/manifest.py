@@ -58,3 +58,41 @@ def lineage(artifacts: DataFrame, key: str) -> DataFrame:
 def pivot_statuses(records: DataFrame, key: str, categories: tuple[str, ...], total: int | None = None) -> DataFrame:
     """Counts of each category for every key."""
     return records.groupBy(key).agg(*(F.count_if(F.col("status") == c).alias(c) for c in categories), F.count("*").alias("total"))
+
+
+def selected(candidates: DataFrame, contracts: DataFrame, key: str = "episode") -> DataFrame:
+    """Each candidate with outcome accepted, or why its contract (key, frames, task) excludes it."""
+    known = contracts.select(key, F.col("frames").alias("__frames"), F.col("task").alias("__task"), F.lit(True).alias("__there"))
+    reason = F.when(F.col("__there").isNull(), "no_contract").when(F.col("__task") != F.col("task"), "task").when(F.col("__frames") != F.col("frames"), "frames").otherwise("accepted")
+    return candidates.join(known, key, "left").select(*candidates.columns, reason.alias("outcome"))
+
+
+def agreement(base: DataFrame, others: dict[str, DataFrame], key: str, fields: tuple[str, ...]) -> DataFrame:
+    """For each key the stages that lack it or differ in a field, as ``stage:field``; empty if all agree."""
+    out = base.select(key, *fields)
+    for name, rows in others.items():
+        out = out.join(rows.select(key, *(F.col(f).alias(f"__{name}_{f}") for f in fields), F.lit(True).alias(f"__{name}")), key, "left")
+    differ = [F.when(F.col(f"__{n}").isNull(), f"{n}:missing") for n in others]
+    differ += [F.when(F.col(f"__{n}").isNotNull() & ~F.col(f).eqNullSafe(F.col(f"__{n}_{f}")), f"{n}:{f}") for n in others for f in fields]
+    return out.select(key, F.array_join(F.array_sort(F.array_compact(F.array(*differ))), ",").alias("reasons"))
+
+
+def preflight(issues: list[DataFrame], key: str = "episode") -> DataFrame:
+    """All issues (key, issue) of each key in one row, sorted."""
+    every = issues[0].select(key, "issue")
+    for more in issues[1:]:
+        every = every.unionByName(more.select(key, "issue"))
+    return every.groupBy(key).agg(F.count("*").alias("issues"), F.array_join(F.array_sort(F.collect_set("issue")), ",").alias("kinds"))
+
+
+def bank(text_rows: DataFrame, box_rows: DataFrame, key: str = "episode") -> DataFrame:
+    """Text candidates, and box candidates of keys without a valid text one; lettered in order of method and seed."""
+    served = text_rows.where("valid").select(key).distinct()
+    every = text_rows.select("*", F.lit(0).alias("__m")).unionByName(box_rows.join(served, key, "left_anti").select("*", F.lit(1).alias("__m")))
+    at = F.row_number().over(Window.partitionBy(key).orderBy("__m", "seed"))
+    return every.withColumn("candidate", F.char(64 + at)).drop("__m")
+
+
+def composed(objects: DataFrame, active: DataFrame) -> DataFrame:
+    """Mask channels (episode, channel, frame, mask) with both gripper channels (2, 3) replaced by the active one's."""
+    return objects.where("channel < 2").unionByName(active)

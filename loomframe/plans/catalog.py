@@ -624,3 +624,92 @@ def prompt_placeholders(spark, d):
     k = c("p_partkey") % 3
     s = F.when(k == 0, "Find the {color} {target} on {place}").when(k == 1, "Move {target}").otherwise("no names")
     return src.table(spark, d, "part").select(c("p_partkey").alias("id"), F.array_join(text.unknown_placeholders(s, ("target", "color")), ",").alias("unknown"))
+
+
+@query(f"""WITH {_REC}, c AS (SELECT episode, CASE WHEN episode % 6 = 0 THEN 'other' ELSE task END AS task, (episode % 40) + (CASE WHEN episode % 5 = 0 THEN 1 ELSE 0 END) AS frames FROM rec WHERE episode % 4 <> 0)
+SELECT r.episode, CASE WHEN c.episode IS NULL THEN 'no_contract' WHEN c.task <> r.task THEN 'task' WHEN c.frames <> r.episode % 40 THEN 'frames' ELSE 'accepted' END AS outcome FROM rec r LEFT JOIN c USING (episode)""")
+def source_selection(spark, d):
+    r = src.records(spark, d).select("episode", "task", (c("episode") % 40).alias("frames"))
+    k = r.where("episode % 4 <> 0").select("episode", F.when(c("episode") % 6 == 0, "other").otherwise(c("task")).alias("task"), (c("frames") + (c("episode") % 5 == 0).cast("int")).alias("frames"))
+    return manifest.selected(r, k).select("episode", "outcome")
+
+
+@query(f"""WITH {_REC} SELECT episode, concat_ws(',', CASE WHEN episode % 9 = 0 THEN 'loop:missing' END, CASE WHEN episode % 9 <> 0 AND episode % 10 = 3 THEN 'loop:run' END, CASE WHEN episode % 7 = 0 THEN 'masks:missing' END, CASE WHEN episode % 7 <> 0 AND episode % 11 = 0 THEN 'masks:task' END) AS reasons FROM rec""")
+def lineage_chain(spark, d):
+    r = src.records(spark, d).select("episode", "run", "task")
+    loop = r.where("episode % 9 <> 0").withColumn("run", F.when(c("episode") % 10 == 3, -1).otherwise(c("run")))
+    m = r.where("episode % 7 <> 0").withColumn("task", F.when(c("episode") % 11 == 0, "x").otherwise(c("task")))
+    return manifest.agreement(r, {"loop": loop, "masks": m}, "episode", ("run", "task"))
+
+
+@query("""WITH a AS (SELECT l_orderkey * 10 + l_linenumber AS path, sha256(l_shipdate::DATE::VARCHAR) AS sha256, l_suppkey AS bytes FROM lineitem WHERE l_linenumber <= 2), b AS (SELECT path, CASE WHEN path % 13 = 0 THEN '' ELSE sha256 END AS sha256, CASE WHEN path % 17 = 0 THEN bytes + 1 ELSE bytes END AS bytes FROM a WHERE path % 19 <> 0),
+j AS (SELECT a.path, CASE WHEN b.path IS NULL THEN 'removed' ELSE concat_ws(',', CASE WHEN a.sha256 <> b.sha256 THEN 'sha256' END, CASE WHEN a.bytes <> b.bytes THEN 'bytes' END) END AS change FROM a LEFT JOIN b USING (path)) SELECT * FROM j WHERE change <> ''""")
+def tree_compare(spark, d):
+    a = src.table(spark, d, "lineitem").where("l_linenumber <= 2").select((c("l_orderkey") * 10 + c("l_linenumber")).alias("path"), F.sha2(c("l_shipdate").cast("date").cast("string"), 256).alias("sha256"), c("l_suppkey").alias("bytes"))
+    b = a.where("path % 19 <> 0").select("path", F.when(c("path") % 13 == 0, "").otherwise(c("sha256")).alias("sha256"), F.when(c("path") % 17 == 0, c("bytes") + 1).otherwise(c("bytes")).alias("bytes"))
+    return manifest.reconcile(a, b, ("sha256", "bytes"), "path")
+
+
+@query(f"""WITH {_REC}, i AS (SELECT episode, 'failed' AS issue FROM rec WHERE status = 'failed' UNION ALL SELECT episode, 'error' FROM rec WHERE error IS NOT NULL UNION ALL SELECT episode, 'odd_run' FROM rec WHERE run % 2 = 1) SELECT episode, count(*) AS issues, string_agg(DISTINCT issue, ',' ORDER BY issue) AS kinds FROM i GROUP BY 1""")
+def preflight_report(spark, d):
+    r = src.records(spark, d)
+    return manifest.preflight([r.where(x).select("episode", F.lit(n).alias("issue")) for n, x in (("failed", "status = 'failed'"), ("error", "error is not null"), ("odd_run", "run % 2 = 1"))])
+
+
+@query("""WITH a AS (SELECT conv_id AS episode, role = 'user' AS t, turn AS seed, length(text) % 3 = 0 AS valid FROM conversations), s AS (SELECT DISTINCT episode FROM a WHERE t AND valid), k AS (SELECT episode, t, seed, valid FROM a WHERE t OR episode NOT IN (SELECT episode FROM s))
+SELECT episode, seed, valid, chr((64 + row_number() OVER (PARTITION BY episode ORDER BY NOT t, seed))::INT) AS candidate FROM k""")
+def candidate_bank(spark, d):
+    a = src.attempts(spark, d)
+    return manifest.bank(a.where("method = 'text'"), a.where("method = 'box'")).select("episode", "seed", "valid", "candidate")
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'required' WHEN p_partkey % 7 = 0 THEN 'repeated' WHEN p_partkey % 3 = 0 THEN 'order' WHEN p_partkey % 2 = 0 THEN 'fallback_not_last' END AS reason,
+CASE WHEN p_partkey % 2 = 0 THEN 'colour,shape,category' ELSE 'shape,colour,category' END AS repaired FROM part""")
+def query_bank_rules(spark, d):
+    k = c("p_partkey")
+    bank = F.create_map(F.lit("category"), F.when(k % 5 != 0, "cup"), F.lit("colour"), F.when(k % 7 == 0, "Cup").otherwise("red cup"), F.lit("shape"), F.lit("tall cup"))
+    bank = F.when(k % 7 == 0, F.create_map(F.lit("category"), F.when(k % 5 != 0, "cup"), F.lit("colour"), F.lit("tall CUP"), F.lit("shape"), F.lit("tall cup"))).otherwise(bank)
+    order = F.when(k % 3 == 0, F.array(F.lit("colour"), F.lit("category"))).when(k % 2 == 0, F.array(*map(F.lit, ("category", "colour", "shape")))).otherwise(F.array(*map(F.lit, ("colour", "shape", "category"))))
+    given = F.when(k % 2 == 0, F.array(*map(F.lit, ("colour", "colour", "odd")))).otherwise(F.array(*map(F.lit, ("category", "shape"))))
+    repaired = text.repaired_order(given, F.array(*map(F.lit, ("colour", "shape", "category"))), "category")
+    return src.table(spark, d, "part").select(k.alias("id"), text.bank_reason(bank, order).alias("reason"), F.array_join(repaired, ",").alias("repaired"))
+
+
+@query("""WITH p AS (SELECT l_orderkey AS id, l_linenumber AS n, l_discount AS r, l_tax AS q, l_quantity / 50 AS y FROM lineitem WHERE l_linenumber <= 2)
+SELECT id, n, round(cos(y)*cos(q)*1.0 + (cos(y)*sin(q)*sin(r) - sin(y)*cos(r))*2.0 + (cos(y)*sin(q)*cos(r) + sin(y)*sin(r))*3.0 + 0.5, 6) AS x, round(-sin(q) + cos(q)*sin(r)*2.0 + cos(q)*cos(r)*3.0, 6) AS z FROM p""")
+def rigid_transform(spark, d):
+    p = src.table(spark, d, "lineitem").where("l_linenumber <= 2")
+    x, _, z = geometry.chain([([c("l_discount"), c("l_tax"), c("l_quantity") / 50], [F.lit(0.5), F.lit(0.0), F.lit(0.0)])], [F.lit(1.0), F.lit(2.0), F.lit(3.0)])
+    return p.select(c("l_orderkey").alias("id"), c("l_linenumber").alias("n"), F.round(x, 6).alias("x"), F.round(z, 6).alias("z"))
+
+
+@query("SELECT l_orderkey AS id, l_linenumber AS n, (l_quantity > 0 AND coalesce(CASE WHEN l_linenumber <> 3 THEN l_quantity - (l_suppkey % 7 - 3) * 2 END, 0) <= 0) OR coalesce(l_quantity <= CASE WHEN l_linenumber <> 3 THEN l_quantity - (l_suppkey % 7 - 3) * 2 END + 2, false) AS visible, (l_partkey % 256 >= 80 AND l_partkey % 256 - l_suppkey % 256 >= 30 AND l_partkey % 256 - l_orderkey % 256 >= 20) AS blue FROM lineitem")
+def pixel_predicates(spark, d):
+    scene = F.when(c("l_linenumber") != 3, c("l_quantity") - (c("l_suppkey") % 7 - 3) * 2)
+    blue = geometry.saturated_blue(c("l_suppkey") % 256, c("l_orderkey") % 256, c("l_partkey") % 256)
+    return src.table(spark, d, "lineitem").select(c("l_orderkey").alias("id"), c("l_linenumber").alias("n"), geometry.visible(c("l_quantity"), scene, 2.0).alias("visible"), blue.alias("blue"))
+
+
+@query(f"WITH {_masks(0.2)} SELECT episode, channel, count(*) AS frames, sum(a)::BIGINT AS pixels FROM (SELECT episode, frame % 4 AS channel, area AS a FROM mx WHERE frame % 4 < 2 UNION ALL SELECT episode, 3, coalesce(area, 0) FROM mx WHERE frame % 4 >= 2) GROUP BY 1, 2")
+def channel_composition(spark, d):
+    m = src.mask_frames(spark, d, 0.2).select("episode", (c("frame") % 4).alias("channel"), "frame", "mask")
+    whole = manifest.composed(m, m.where("channel >= 2").withColumn("channel", F.lit(3).cast("int")))
+    return whole.groupBy("episode", "channel").agg(F.count("*").alias("frames"), F.sum(masks.area(c("mask"))).alias("pixels"))
+
+
+@query(f"""WITH RECURSIVE {_masks(0.25)}, o AS (SELECT dx, dy FROM range(-2, 3) a(dx), range(-2, 3) b(dy) WHERE dx * dx + dy * dy <= 4), p AS (SELECT episode, frame, unnest(range(64)) AS i, unnest(m) AS v FROM mx)
+SELECT episode, frame, count(DISTINCT (i % 8 + dx) + 8 * (i // 8 + dy)) AS grown FROM p, o WHERE v = 1 AND i % 8 + dx BETWEEN 0 AND 7 AND i // 8 + dy BETWEEN 0 AND 7 GROUP BY 1, 2""")
+def mask_dilation(spark, d):
+    # each pixel with the disc's offsets, a fixed list, instead of a join with a table of them
+    offsets = F.array(*(F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x in range(-2, 3) for y in range(-2, 3) if x * x + y * y <= 4))
+    bit = lambda i: F.call_function("shiftrightunsigned", c("mask"), i).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    on = src.mask_frames(spark, d, 0.25).select("episode", "frame", F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), bit)).alias("i"))
+    near = on.select("episode", "frame", (c("i") % 8).alias("x"), F.floor(c("i") / 8).alias("y"), F.inline(offsets)).select("episode", "frame", (c("x") + c("dx")).alias("x"), (c("y") + c("dy")).alias("y"))
+    return near.where("x between 0 and 7 and y between 0 and 7").distinct().groupBy("episode", "frame").agg(F.count("*").alias("grown"))
+
+
+@query("WITH a AS (SELECT o_custkey AS run, list_sort(list(DISTINCT o_orderpriority)) AS x, list_sort(list(DISTINCT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END)) AS y FROM orders GROUP BY 1) SELECT run, array_to_string(list_filter(x, lambda v: NOT list_contains(list_filter(y, lambda w: w IS NOT NULL), v)), ',') AS missing, len(list_filter(x, lambda v: NOT list_contains(list_filter(y, lambda w: w IS NOT NULL), v))) = 0 AS equal FROM a")
+def set_difference(spark, d):
+    o = src.table(spark, d, "orders").groupBy(c("o_custkey").alias("run")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("x"), F.collect_set(F.when(c("o_orderkey") % 5 != 0, c("o_orderpriority"))).alias("y"))
+    missing = F.array_except("x", "y")
+    return o.select("run", F.array_join(missing, ",").alias("missing"), (F.size(missing) == 0).alias("equal"))
