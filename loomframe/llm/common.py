@@ -123,6 +123,20 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T).view(kind).ravel()
 
 
+def squeeze(array: np.ndarray) -> bytes:
+    """``pack``, then zstandard: for what is also written, as checkpoints aren't compressed."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(pack(array))
+
+
+def unsqueeze(data: bytes, kind: type) -> np.ndarray:
+    """The numbers that ``squeeze`` was given."""
+    import zstandard
+
+    return unpack(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 def shared_folder(spark: SparkSession) -> None:
     """Set a checkpoint folder only where the cluster has named none, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
