@@ -63,6 +63,27 @@ def _rows(kind: int, target: np.ndarray, *columns: np.ndarray) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array([int(target[a])], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([pack(c[a:b])], pa.binary()) for c in columns)], names=_NAMES)
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of packed rows, those whose key occurs twice or more: kind, doc, start, anchor, key."""
+    held: tuple[list, list] = ([], [])
+    for batch in batches:
+        for row in range(batch.num_rows):
+            held[batch.column(1)[row].as_py()].append([unpack(batch.column(i + 2)[row].as_py(), t) for i, t in enumerate((np.uint64, np.int64, np.int32, np.int32))])
+    for kind in (0, 1):
+        if held[kind]:
+            k, d, s, a = (np.concatenate(x) for x in zip(*held[kind], strict=True))
+            order = np.argsort(k, kind="stable")
+            new = np.r_[True, k[order][1:] != k[order][:-1]]
+            run = np.cumsum(new) - 1
+            often = order[np.bincount(run)[run] > 1]
+            for at in range(0, len(often), 100_000):
+                some = often[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(d[some]), pa.array(s[some]), pa.array(a[some]), pa.array(k[some].view(np.int64))], names=["kind", "doc", "start", "anchor", "key"])
+
+
+_FOUND = "kind int, doc long, start int, anchor int, key long"
+
+
 def _shared_phrases(docs: DataFrame, length: int) -> DataFrame:
     """kind, doc, start, anchor, key: phrases (0) whose anchor's surroundings occur twice, and repeated lone windows (1)."""
     parts, rest = partitions(docs.sparkSession), length * 9 // 25
@@ -89,24 +110,8 @@ def _shared_phrases(docs: DataFrame, length: int) -> DataFrame:
                     held = ([], [])
         yield from flush()
 
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list] = ([], [])
-        for batch in batches:
-            for row in range(batch.num_rows):
-                held[batch.column(1)[row].as_py()].append([unpack(batch.column(i + 2)[row].as_py(), t) for i, t in enumerate((np.uint64, np.int64, np.int32, np.int32))])
-        for kind in (0, 1):
-            if held[kind]:
-                k, d, s, a = (np.concatenate(x) for x in zip(*held[kind], strict=True))
-                order = np.argsort(k, kind="stable")
-                new = np.r_[True, k[order][1:] != k[order][:-1]]
-                run = np.cumsum(new) - 1
-                often = order[np.bincount(run)[run] > 1]
-                for at in range(0, len(often), 100_000):
-                    some = often[at : at + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(d[some]), pa.array(s[some]), pa.array(a[some]), pa.array(k[some].view(np.int64))], names=["kind", "doc", "start", "anchor", "key"])
-
     sent = docs.mapInArrow(send, _FIELDS)
-    return sent.repartitionById(parts, F.col("target")).mapInArrow(resolve, "kind int, doc long, start int, anchor int, key long")
+    return sent.repartitionById(parts, F.col("target")).mapInArrow(_repeated, _FOUND)
 
 
 def _numbered(rows: DataFrame, *by: str) -> DataFrame:
@@ -252,23 +257,33 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
     copies = judged.where("twice").join(open_keys, "key", "left_semi").groupBy("prefix").agg(F.min(F.struct("doc", "start", "anchor")).alias("x")).select("x.*")
     asked = judged.where("not twice").select("doc", "start", "anchor").union(copies).groupBy("doc").agg(F.collect_list(F.struct("start", "anchor")).alias("asked"))
 
+    parts = partitions(docs.sparkSession)
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
+        unpacker, held, size = zstandard.ZstdDecompressor(), [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            k, d, s = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(k, kind="stable")
+            yield from _rows(1, share_of(k[order], parts), k[order], d[order], s[order], np.zeros(len(s), np.int32))
+
         for batch in batches:
             for doc, body, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 raw = unpacker.decompress(body)
                 running = prefix_hash(np.frombuffer(raw, np.uint8))
                 s = np.concatenate([np.arange(w["start"], w["anchor"] + 1) for w in wanted])
                 s = s[s + length <= len(raw)]
-                h = span_hash(running, s, s + length).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(s), doc)), pa.array(s.astype(np.int32))], names=["window", "doc", "start"])
-
-    each = base.select("doc", "body").join(asked, "doc").mapInArrow(windows, "window long, doc long, start int")
-    again = each.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("doc", "start")).alias("one"), F.max(F.struct("doc", "start")).alias("other")).where("n > 1")
-    # most windows occur twice: both places are in the sums already, and only those with more are joined
-    twice = again.where("n = 2").select(F.explode(F.array("one", "other")).alias("x")).select("x.*")
-    more = each.join(again.where("n > 2").select("window"), "window", "left_semi").select("doc", "start")
-    spans = judged.where("twice").select("doc", "start", (F.col("anchor") + length).alias("end")).union(twice.union(more).select("doc", "start", (F.col("start") + length).alias("end")))
+                held.append((span_hash(running, s, s + length), np.full(len(s), doc), s.astype(np.int32)))
+                size += len(s)
+                if size >= BLOCK:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    sent = base.select("doc", "body").join(asked, "doc").mapInArrow(windows, _FIELDS)
+    again = sent.repartitionById(parts, F.col("target")).mapInArrow(_repeated, _FOUND)
+    spans = judged.where("twice").select("doc", "start", (F.col("anchor") + length).alias("end")).union(again.select("doc", "start", (F.col("start") + length).alias("end")))
     covered = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     result = "doc long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary"
 
