@@ -23,7 +23,10 @@ BLOCK = 2_000_000
 _FIELDS = "target int, kind int, keys binary, docs binary"
 _NAMES = ["target", "kind", "keys", "docs"]
 _UNSURE, _SHARED, _SIZES = 0, 1, 2
-#: The low bit of a key that is sent tells that the key is known to be shared; keys therefore have 63 bits.
+#: Keys go by their upper 48 bits, sorted, of which some 30 remain to be sent. Two keys that agree in these count as
+#: shared, which only keeps a document in the running: of 10**13 distinct keys every thirtieth would be mistaken.
+_KEPT = ~np.uint64(0xFFFF)
+#: The low bit of a key that is sent tells that the key is known to be shared.
 _LOW = np.uint64(1)
 
 
@@ -90,7 +93,7 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tup
             counts = np.zeros(len(ids), np.int64)
             for first, last, data, offsets in slices(batch.column(1)):
                 keys, owner = keys_of(data, offsets)
-                keys = keys & ~_LOW
+                keys = keys & _KEPT
                 counts[first:last] = np.bincount(owner, minlength=last - first)
                 held_keys.append(keys)
                 held_docs.append(ids[first:last][owner])

@@ -17,18 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, grams, mix, words
+from .common import components, cut, grams, mix, partitions, words
 from .shared_keys import per_document, shared_keys
 
 #: Sets that one group of the join holds; larger groups are dealt out by blocks of this size.
 GROUP = 400
+#: Sets beyond which a key counts as one that many have.
+OFTEN = 64
+#: Keys that many sets have and that are told to all executors: a bound, whatever the data.
+FREQUENT = 100_000
 
 
 def distinct_grams(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word hashes of each text and the text's number; fewer words than k make one gram."""
     hashes, owner, _, _ = words(data, offsets)
     keys, owner, _ = grams(hashes, owner, k, whole_if_short=True)
-    keys &= ~np.uint64(1)
     order = np.lexsort((keys, owner))
     keys, owner = keys[order], owner[order]
     new = np.ones(len(keys), bool)
@@ -44,11 +47,13 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray
 class Trie:
     """Ordered sets sorted as sequences; a node is a run of them with the stretch that they share."""
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray) -> None:
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, rest: np.ndarray | None = None) -> None:
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
         self.order, self.sets = order, [sets[i] for i in order]
         self.sizes = np.asarray(sizes)[order]
-        self.length = np.array([len(s) for s in self.sets])
+        # elements that come after those given, of which nothing is known
+        self.rest = np.zeros(len(order), np.int64) if rest is None else np.asarray(rest)[order]
+        self.length = np.array([len(s) for s in self.sets]) + self.rest
         self.shared = [0] * len(order)  # with the set before
         for i in range(1, len(order)):
             a, b = self.sets[i - 1], self.sets[i]
@@ -88,10 +93,10 @@ class Trie:
             return True
         return False
 
-    def links(self, percent: int, first_common: int | None = None) -> Iterator[tuple[int, int]]:
+    def links(self, percent: int, join: bool = True) -> Iterator[tuple[int, int]]:
         """Pairs of sets (their numbers) that are similar enough, as many as join everything that can be joined.
 
-        With ``first_common`` only pairs whose smallest common element is that one are looked for.
+        Without ``join`` every pair of different components, once for either of the two, that may still be similar enough.
         """
         for probe, own in enumerate(self.sets):
             size = int(self.sizes[probe])
@@ -107,34 +112,109 @@ class Trie:
                     found = np.searchsorted(own[at:], stretch) + at
                     common = own[np.minimum(found, len(own) - 1)] == stretch
                     hits = int(np.count_nonzero(common & (found < len(own))))
-                    if hits and overlap == 0 and first_common is not None and int(stretch[int(np.argmax(common))]) != first_common:
-                        continue
                     at, overlap = int(found[-1]), overlap + hits
-                if overlap + min(len(own) - at, rest) < needed(size, max(least, -(-percent * size // 100)), percent):
+                if overlap + min(len(own) - at + int(self.rest[probe]), rest) < needed(size, max(least, -(-percent * size // 100)), percent):
                     continue
                 if children:
                     stack += [(child, at, overlap) for child in children]
                 else:
                     other = key[0]
                     # equal sets are under one node; each of them is a leaf of its own
-                    if other != probe and overlap >= needed(size, int(self.sizes[other]), percent):
+                    if other != probe and not join:
+                        yield self.order[probe], self.order[other]
+                    elif other != probe and overlap >= needed(size, int(self.sizes[other]), percent):
                         a, b = self.find(probe), self.find(other)
                         self.parent[max(a, b)] = min(a, b)
                         yield self.order[probe], self.order[other]
 
 
-def _joined(groups: DataFrame, percent: int, by_first: bool) -> DataFrame:
-    """Links (a, b) within the groups (group, member, n, keys, label; token if ``by_first``)."""
+def _pack48(keys: np.ndarray) -> bytes:
+    """48-bit values as bytes, six each."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+
+
+def _unpack48(data: bytes) -> np.ndarray:
+    """The values that ``_pack48`` was given."""
+    planes = np.zeros((len(data) // 6, 8), np.uint8)
+    planes[:, :6] = np.frombuffer(data, np.uint8).reshape(6, -1).T
+    return planes.view("<u8").ravel()
+
+
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """Keys that many sets have, ``FREQUENT`` at most, sorted; which they are only sets an order."""
+    parts = partitions(sets.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_unpack48(k.as_py()) for batch in batches for k in batch.column(0)]
+        if held:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            # a key of more than OFTEN sets has its share of them in some partition
+            often = n > max(2, OFTEN // parts)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(n[often])], names=["key", "n"])
+
+    found = sets.select("keys").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > OFTEN)
+    return np.sort(found.orderBy(F.col("n").desc(), "key").limit(FREQUENT).select("key").toArrow().column(0).to_numpy())
+
+
+def _leading(sets: DataFrame, percent: int) -> DataFrame:
+    """member, n, have, lead of every set: the n-grams of which a partner must have one.
+
+    The order is by hash, n-grams of many sets last (bit 48 of a value), so that a set's leading n-grams are rare ones: as
+    many as remain when one fewer than ``percent`` hundredths of all are taken from the end.
+    """
+    frequent = sets.sparkSession.sparkContext.broadcast(_frequent(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = frequent.value.view(np.uint64)
+        for batch in batches:
+            leads = []
+            for n, data in zip(batch.column(1).to_pylist(), batch.column(3), strict=True):
+                keys = _unpack48(data.as_py())
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+                    keys = np.sort(np.where(hot[at] == keys, keys | np.uint64(1 << 48), keys))
+                leads.append(keys[: len(keys) + (-n * percent) // 100 + 1].view(np.int64))
+            offsets = np.r_[0, np.cumsum([len(x) for x in leads])].astype(np.int32)
+            values = np.concatenate(leads) if leads else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["member", "n", "have", "lead"])
+
+    return sets.select("member", "n", "have", "keys").mapInArrow(run, "member long, n long, have long, lead array<long>")
+
+
+def _joined(groups: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within the groups (group, member, n, keys)."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.asarray(k, np.int64).view(np.uint64) for k in frame["keys"]]
-        trie = Trie(sets, frame["n"].to_numpy(), frame["label"].to_numpy())
-        token = int(np.int64(frame["token"].iloc[0]).view(np.uint64)) if by_first else None
         members = frame["member"].to_numpy()
-        found = [(members[a], members[b]) for a, b in trie.links(percent, token)]
+        trie = Trie([_unpack48(k) for k in frame["keys"]], frame["n"].to_numpy(), members)
+        found = [(members[a], members[b]) for a, b in trie.links(percent)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return groups.groupBy("group").applyInPandas(run, "a long, b long")
+    return groups.select("group", "member", "n", "keys").groupBy("group").applyInPandas(run, "a long, b long")
+
+
+def _near(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) within the groups (group, member, label, n, rest, keys) that may be links.
+
+    keys are a set's leading n-grams from the group's own on, rest counts what follows them; sets of one label are
+    joined already.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        members = frame["member"].to_numpy()
+        trie = Trie([np.asarray(k, np.int64).view(np.uint64) for k in frame["keys"]], frame["n"].to_numpy(), frame["label"].to_numpy(), frame["rest"].to_numpy())
+        found = {(min(members[a], members[b]), max(members[a], members[b])) for a, b in trie.links(percent, join=False)}
+        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+
+    return groups.groupBy("group").applyInPandas(run, "a long, b long").distinct()
+
+
+def _starred(pairs: DataFrame) -> DataFrame:
+    """Groups (group, member) of each leader with its members (leader, member), at most about GROUP in each."""
+    spread = pairs.groupBy("leader").agg((F.floor(F.count("*") / GROUP) + 1).cast("int").alias("parts"))
+    followers = pairs.join(spread, "leader").select("leader", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("part"), "member")
+    heads = spread.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("member"))
+    return followers.union(heads).select(F.struct("leader", "part").alias("group"), "member")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,47 +245,52 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, id_column
         alone = have != counts  # some shingle is its own, so that no other document has the same set
         marks[0] = np.where(alone, ids.view(np.uint64), marks[0])
         marks[1] = np.where(alone, np.uint64(0), marks[1] | np.uint64(1))
-        taken = keys[np.repeat(keep, have)]
-        offsets = np.r_[0, np.cumsum(np.where(keep, have, 0))].astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(taken.view(np.int64)), mask=pa.array(~keep))
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts), pa.array(marks[0].view(np.int64)), pa.array(marks[1].view(np.int64)), lists], names=["doc", "n", "m0", "m1", "keys"])
+        keys = keys >> np.uint64(16)
+        whole = [_pack48(keys[b - h : b]) if k else None for b, h, k in zip(ends.tolist(), have.tolist(), keep.tolist(), strict=True)]
+        columns = [pa.array(ids), pa.array(counts), pa.array(have), pa.array(marks[0].view(np.int64)), pa.array(marks[1].view(np.int64)), pa.array(whole, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc", "n", "have", "m0", "m1", "keys"])
 
-    sets = cut(per_document(packed, rows, "doc long, n long, m0 long, m1 long, keys array<long>"))
+    sets = cut(per_document(packed, rows, "doc long, n long, have long, m0 long, m1 long, keys binary"))
     able = sets.where("keys is not null")
-    classes = cut(able.groupBy("m0", "m1").agg(F.min(F.struct("doc", "n", "keys")).alias("rep")).select("m0", "m1", "rep.*"))
-    own = classes.select(F.col("doc").alias("member"), "n", "keys")
+    reps = able.groupBy("m0", "m1").agg(F.min("doc").alias("rep"))
+    classes = cut(able.join(reps, ["m0", "m1"]).select("m0", "m1", "doc", "rep"))
+    single = classes.where("doc = rep").select("doc")
+    own = sets.select(F.col("doc").alias("member"), "n", "have", "keys").join(single.withColumnRenamed("doc", "member"), "member", "left_semi")
+    leads = cut(_leading(own, percent))
 
-    # the n-grams of which a partner must have one, smallest hash first
-    prefix = cut(
-        own.select("member", "n", F.explode(F.slice("keys", 1, F.size("keys") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)).alias("token"))
-    )
-    leaders = prefix.groupBy("token").agg(F.min(F.struct(F.col("member"))).alias("low"), F.count("*").alias("held")).where("held > 1").select("token", F.col("low.member").alias("leader"))
-    votes = prefix.join(leaders, "token").where("leader <> member").groupBy("member", "leader").agg(F.count("*").alias("votes"))
+    # first: every class with the class that shares most of its leading n-grams
+    tokens = cut(leads.select("member", F.explode("lead").alias("token")))
+    leaders = tokens.groupBy("token").agg(F.min("member").alias("leader"), F.count("*").alias("held")).where("held > 1").drop("held")
+    votes = tokens.join(leaders, "token").where("leader <> member").groupBy("member", "leader").agg(F.count("*").alias("votes"))
     chosen = votes.groupBy("member").agg(F.max_by("leader", F.struct("votes", -F.col("leader"))).alias("leader"))
-    spread = chosen.groupBy("leader").agg((F.floor(F.count("*") / GROUP) + 1).cast("int").alias("parts"))
-    followers = chosen.join(spread, "leader").select("leader", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("part"), "member")
-    heads = spread.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("member"))
-    groups = followers.union(heads).join(own, "member").select(F.struct("leader", "part").alias("group"), "member", "n", "keys", F.col("member").alias("label"))
-    links = cut(_joined(groups, percent, False))
+    links = cut(_joined(_starred(chosen.select("leader", "member")).join(own, "member"), percent))
     joined = components(links)
 
-    # pairs that may remain: of different components, with a token in common
-    def labelled(frame: DataFrame, with_labels: DataFrame) -> DataFrame:
-        return frame.join(with_labels.withColumnRenamed("node", "member"), "member", "left").withColumn("label", F.coalesce("component", "member")).drop("component")
-
-    marked = cut(labelled(prefix.join(leaders.select("token"), "token", "left_semi").select("member", "token"), joined))
-    mixed = marked.groupBy("token").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token", F.ceil(F.col("held") / GROUP).cast("int").alias("parts"))
+    # then: classes that aren't joined yet and have a leading n-gram in common
+    marked = cut(
+        tokens.join(leaders.select("token"), "token", "left_semi").join(joined.withColumnRenamed("node", "member"), "member", "left")
+        .select("member", "token", F.coalesce("component", "member").alias("label"))
+    )
+    # n-grams with the same members are one group, that of the smallest
+    members = [F.bit_xor(F.xxhash64("member", F.lit(i))).alias(f"s{i}") for i in (1, 2)]
+    mixed = (
+        marked.groupBy("token").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"), *members).where("low <> high")
+        .groupBy("held", "s1", "s2").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("held") / GROUP).cast("int").alias("parts"))
+    )
     dealt = marked.join(mixed, "token").select("token", "parts", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("part"), "member", "label")
-    # a token's members in blocks, every two blocks together once
+    # a group's members in blocks, every two blocks together once
     paired = dealt.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("parts") - 1, F.lit(0)))).alias("with"))
     blocks = paired.select(F.struct("token", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j")).alias("group"), "token", "member", "label")
-    more = _joined(blocks.join(own, "member").select("group", "token", "member", "n", "keys", "label"), percent, True)
-    final = components(links.union(more))
+    # of each set only the leading n-grams from the group's own on: pairs are looked at where their first common one is
+    sent = blocks.join(leads, "member").select("group", "member", "label", "n", "have", (F.array_position("lead", F.col("token")) - 1).alias("skip"), "lead")
+    sent = sent.select("group", "member", "label", "n", (F.col("have") - F.size("lead")).alias("rest"), F.slice("lead", F.col("skip").cast("int") + 1, F.size("lead")).alias("keys"))
+    pairs = cut(_near(sent, percent))
+    again = _starred(pairs.select(F.col("a").alias("leader"), F.col("b").alias("member"))).join(own, "member")
+    final = components(links.union(_joined(again, percent)))
 
     return (
-        sets.select(F.col("doc"), "n", "m0", "m1", F.col("keys").isNotNull().alias("able"))
-        .join(classes.select("m0", "m1", F.col("doc").alias("rep")), ["m0", "m1"], "left")
-        .select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("able"), F.col("rep")).otherwise(F.col("doc")).alias("rep"))
+        sets.select("doc", "n").join(classes.select("doc", "rep"), "doc", "left")
+        .select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("rep", "doc").alias("rep"))
         .join(final, F.col("rep") == F.col("node"), "left")
         .select(id_column, "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     )
