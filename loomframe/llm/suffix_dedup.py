@@ -34,6 +34,8 @@ _WIRE = "target int, sender int, data array<binary>"
 _PHRASE, _LONE, _SHARED = 0, 1, 2
 #: Triples that each group of documents gives as bounds of ranges to choose from.
 SAMPLE = 64
+#: Questions that the owner of a range answers, about; and the fewest ranges, so that small steps are shared out too.
+RANGE, FEWEST = 100_000, 8
 Arrays = list[np.ndarray]
 
 
@@ -140,11 +142,18 @@ def _group_of(doc: np.ndarray, parts: int) -> np.ndarray:
     return share_of(mix(doc.view(np.uint64)), parts)
 
 
+def _ranges(questions: int, parts: int) -> int:
+    """How many ranges so many questions are dealt to: not more than they need, as each group writes each range a row."""
+    return min(parts, max(FEWEST, questions // RANGE + 1))
+
+
 def _bounds(samples: DataFrame, width: int, parts: int, by: tuple[int, ...]) -> Arrays:
-    """Bounds of ``parts`` ranges chosen from samples of SAMPLE rows at most for each group of documents."""
-    columns = _joined([r[0] for r in samples.select("data").collect()], width)
+    """Bounds of ranges chosen from samples of SAMPLE rows at most for each group of documents; last, how many it asks about."""
+    rows = [r[0] for r in samples.select("data").collect()]
+    columns = _joined(rows, width)
     order = np.lexsort([columns[i] for i in reversed(by)])
-    some = order[(np.arange(1, parts) * len(order)) // parts] if len(order) else order
+    ranges = _ranges(int(_joined([r[width:] for r in rows], 1)[0].sum()), parts)
+    some = order[(np.arange(1, ranges) * len(order)) // ranges] if len(order) else order
     return [c[some] for c in columns]
 
 
@@ -223,16 +232,22 @@ def _triples(names: np.ndarray) -> tuple[Arrays, np.ndarray, np.ndarray]:
     return [c[first] for c in columns], number, times
 
 
-def _some(columns: Arrays, target: int) -> Arrays:
+def _some(columns: Arrays, target: int, asked: int) -> Arrays:
+    """A sample of the rows, and the number of a group's questions."""
     n = len(columns[0])
     at = np.random.default_rng([target, n]).choice(n, min(n, SAMPLE), replace=False)
-    return [c[at] for c in columns]
+    return [*(c[at] for c in columns), np.array([asked])]
 
 
 def _named(sequences: DataFrame) -> tuple[DataFrame, int]:
     """The sampled triples' names by group, in the order of ``_sampled`` with a gap of 0, and how many aren't alone."""
     parts = partitions(sequences.sparkSession)
-    bounds = _bounds(_each(sequences, lambda target, held: _some(_triples(held[0])[0], target)), 3, parts, (0, 1, 2))
+
+    def some(target: int, held: Arrays) -> Arrays:
+        triples, _, _ = _triples(held[0])
+        return _some(triples, target, len(triples[0]))
+
+    bounds = _bounds(_each(sequences, some), 3, parts, (0, 1, 2))
 
     def ask(held: Arrays) -> tuple[np.ndarray, Arrays]:
         triples, _, _ = _triples(held[0])
@@ -286,7 +301,7 @@ def _merged(sequences: DataFrame, ranked: DataFrame) -> DataFrame:
 
     def unsampled(target: int, held: Arrays) -> Arrays:
         c, _ = _suffixes(held)
-        return _some([x[c[0] == 0] for x in c], target)
+        return _some([x[c[0] == 0] for x in c], target, len(c[0]))
 
     bounds = _bounds(_each(both, unsampled), 6, parts, (1, 4))
 
@@ -412,7 +427,7 @@ def _phrases(docs: DataFrame, length: int) -> DataFrame:
     """By group: names and breaks of its shared phrases in a row, and the phrases' doc, start, anchor, key, prefix and place.
 
     Fields: 0 names, 1 doc, 2 start, 3 anchor, 4 key, 5 prefix (0: its 400 bytes don't fit), 6 place among the names,
-    7 and 8 doc and start of repeated lone windows, 9 the most names that a prefix spans.
+    7 and 8 doc and start of repeated lone windows, 9 the most names that a prefix spans, and the number of phrases.
     """
     parts, around = partitions(docs.sparkSession), length * 9 // 25
 
@@ -452,17 +467,16 @@ def _phrases(docs: DataFrame, length: int) -> DataFrame:
                 names[place] = own + 1
                 group = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])[: len(doc)] << 32
                 spanned = np.searchsorted(group + start, group + anchor + length) - np.arange(len(doc))
-                yield target, -1, [names, doc, start, anchor, key, prefix, place, lone[1], lone[2], np.array([2 * spanned.max(initial=0) + 2])]
+                yield target, -1, [names, doc, start, anchor, key, prefix, place, lone[1], lone[2], np.array([2 * spanned.max(initial=0) + 2, len(doc)])]
 
         yield from _wired(rows())
 
     return cut(_shared(docs.mapInArrow(send, _WIRE)).repartitionById(parts, F.col("target")).mapInArrow(gather, _WIRE))
 
 
-def _judged(found: DataFrame) -> DataFrame:
+def _judged(found: DataFrame, enough: int) -> DataFrame:
     """By group: doc, start, anchor, key, prefix of its phrases, and whether their prefixes are those of neighbours."""
     parts = partitions(found.sparkSession)
-    enough = max((int(_open(r[0])[0][0]) for r in _only(found, 9).select("data").collect()), default=0)
     ranked = _ranks(_only(found, 0), enough)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -494,12 +508,11 @@ def _judged(found: DataFrame) -> DataFrame:
     return _consult(state, ask, answer, conclude)
 
 
-def _asked(judged: DataFrame) -> DataFrame:
+def _asked(judged: DataFrame, ranges: int) -> DataFrame:
     """By group: doc, start, anchor of the phrases whose windows are to be settled one by one.
 
     They are those that aren't repeated as a whole, and one copy of each repeated one that has surroundings in common.
     """
-    parts = partitions(judged.sparkSession)
 
     def questions(held: Arrays) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (key, prefix or 0 where not repeated): their places, and each phrase's number."""
@@ -509,7 +522,7 @@ def _asked(judged: DataFrame) -> DataFrame:
     def ask(held: Arrays) -> tuple[np.ndarray, Arrays]:
         first, _ = questions(held)
         key = held[3][first]
-        return share_of(key.view(np.uint64), parts), [key, (held[4] * held[5])[first]]
+        return share_of(key.view(np.uint64), ranges), [key, (held[4] * held[5])[first]]
 
     def answer(owner: int, askers: np.ndarray, c: Arrays) -> Arrays:
         key, prefix = c
@@ -616,8 +629,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
     parts = partitions(docs.sparkSession)
     docs = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
     found = _phrases(docs, length)
-    judged = _judged(found)
-    windows = _windows(docs, _asked(judged), length)
+    facts = [_open(r[0])[0] for r in _only(found, 9).select("data").collect()]
+    judged = _judged(found, max((int(f[0]) for f in facts), default=0))
+    windows = _windows(docs, _asked(judged, _ranges(sum(int(f[1]) for f in facts), parts)), length)
 
     def spans(target: int, held: Arrays) -> Arrays:
         twice = held[5] != 0
