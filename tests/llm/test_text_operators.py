@@ -256,6 +256,18 @@ def test_alignment():
     assert chain_dedup.align(a, a + 100) == (0, 0, 0, 0, 0)
 
 
+@pytest.mark.parametrize(("words_each", "between"), [(100, 34), (100, 100), (100, 190), (400, 600), (60, 40)])
+def test_two_exact_passages_with_other_words_between(spark, words_each, between):
+    head, tail = prose(31, words_each), prose(32, words_each)
+    texts = [(k, " ".join([head, prose(40 + k, between), tail])) for k in (1, 2)]
+    found = [tuple(r)[:6] for r in chain_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()]
+    covered = {i for d, a, b, *_ in found for i in range(a, b) if d == 2}
+    assert covered >= {*range(words_each), *range(words_each + between, 2 * words_each + between)}
+    assert all(d == 2 and p == 1 for d, _, _, p, _, _ in found)
+    if words_each * 2 < 0.75 * (2 * words_each + between):
+        assert len(found) == 2
+
+
 # op8
 
 
