@@ -268,6 +268,22 @@ def test_two_exact_passages_with_other_words_between(spark, words_each, between)
         assert len(found) == 2
 
 
+def test_recall_of_changed_passages(spark):
+    rng, texts, planted = np.random.default_rng(8), [], {}
+    for n, share in ((n, s) for n in (50, 100) for s in (4, 5, 6, 8, 0.78, 0.85, 0.9) for _ in range(12)):
+        k, passage = 2 * len(planted), prose(1000 + len(planted), n).split()
+        # every so many words, or so many at random, but for the first and the last
+        gone = range(3, n - 1, share) if share >= 1 else rng.choice(np.arange(1, n - 1), round(n * (1 - share)), replace=False)
+        changed = [f"changed{k}x{i}" if i in set(gone) else w for i, w in enumerate(passage)]
+        planted[k + 1] = (share, n)
+        texts += [(k, f"{prose(5000 + k, 60)} {' '.join(passage)} {prose(6000 + k, 60)}"), (k + 1, f"{prose(7000 + k, 90)} {' '.join(changed)} {prose(8000 + k, 60)}")]
+    found = {r["doc_id"]: r for r in chain_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    recall = Counter(planted[d] for d in planted if d in found and found[d]["partner_id"] == d - 1)
+    print({x: recall[x] / 12 for x in dict.fromkeys(planted.values())})
+    assert set(found) <= set(planted)
+    assert all(recall[x] >= 11 for x in set(planted.values()))
+
+
 # op8
 
 
