@@ -268,6 +268,14 @@ def test_two_exact_passages_with_other_words_between(spark, words_each, between)
         assert len(found) == 2
 
 
+def test_a_passage_whose_parts_occur_alone_before_it(spark):
+    parts = [prose(60 + i, 26) for i in range(4)]
+    texts = [(i, f"{prose(70 + i, 40)} {x} {prose(80 + i, 40)}") for i, x in enumerate(parts)] + [(10 + i, f"{prose(90 + i, 30)} {' '.join(parts)} {prose(95 + i, 30)}") for i in range(2)]
+    found = [tuple(r)[:6] for r in chain_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()]
+    assert (11, 30, 134, 10, 30, 134) in found
+    assert {(d, p) for d, _, _, p, _, _ in found} == {(11, 10)}
+
+
 def test_recall_of_changed_passages(spark):
     rng, texts, planted = np.random.default_rng(8), [], {}
     for n, share in ((n, s) for n in (50, 100) for s in (4, 5, 6, 8, 0.78, 0.85, 0.9) for _ in range(12)):
