@@ -85,8 +85,8 @@ def convex_hull(points: np.ndarray) -> np.ndarray:
     return np.array(chain(p) + chain(p[::-1]))
 
 
-def suppress_duplicates(candidates: DataFrame, group: str, threshold: float = 0.98) -> DataFrame:
-    """candidates (group, id, mask, valid) with duplicate_of: the first kept one with an IoU of ``threshold`` or more.
+def suppress_duplicates(candidates: DataFrame, group: str | tuple[str, ...], threshold: float = 0.98) -> DataFrame:
+    """candidates (group's columns, id, mask, valid) with duplicate_of: the first kept one with an IoU of ``threshold`` or more.
 
     Only candidates that are valid and kept themselves suppress later ones, by id.
     """
@@ -106,7 +106,7 @@ def suppress_duplicates(candidates: DataFrame, group: str, threshold: float = 0.
             of.append(found if valid else None)
         return frame.assign(duplicate_of=pd.array(of, "Int64"))
 
-    return candidates.groupBy(group).applyInPandas(run, fields)
+    return candidates.groupBy(*([group] if isinstance(group, str) else group)).applyInPandas(run, fields)
 
 
 def hull_area(frames: DataFrame) -> DataFrame:

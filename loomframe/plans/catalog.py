@@ -128,8 +128,9 @@ def hull(spark, d):
 
 @query()
 def duplicate_suppression(spark, d):
-    m = src.mask_frames(spark, d).select((c("episode") % 3).alias("group"), (c("episode") * 1000 + c("frame")).cast("long").alias("id"), "mask", (c("frame") % 5 != 0).alias("valid"))
-    return kernels.suppress_duplicates(m, "group", 0.45).drop("mask")
+    # eight masks in a row are the candidates of one frame
+    m = src.mask_frames(spark, d).select("episode", F.floor(c("frame") / 8).alias("frame"), (c("episode") * 1000 + c("frame")).cast("long").alias("id"), "mask", (c("frame") % 5 != 0).alias("valid"))
+    return kernels.suppress_duplicates(m, ("episode", "frame"), 0.45).drop("mask")
 
 
 # --- sequences

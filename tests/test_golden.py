@@ -91,3 +91,15 @@ def test_suppressed_candidates_do_not_suppress(spark):
     rows = [("g", 1, 0b1111, True), ("g", 2, 0b0111, True), ("g", 3, 0b0011, True), ("g", 4, 0b1111, False)]
     found = kernels.suppress_duplicates(spark.createDataFrame(rows, "group string, id long, mask long, valid boolean"), "group", 0.7).orderBy("id").collect()
     assert [r["duplicate_of"] for r in found] == [None, 1, None, None]
+
+
+def test_masks_of_other_frames_do_not_suppress(spark):
+    from loomframe.plans import catalog
+
+    rows = catalog.QUERIES["duplicate_suppression"](spark, "/root/testdata/sf0.001").collect()
+    frame = {r["id"]: (r["episode"], r["frame"]) for r in rows}
+    assert len(rows) == spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").count()
+    assert max(sum(f == g for g in frame.values()) for f in set(frame.values())) <= 8
+    found = [r for r in rows if r["duplicate_of"] is not None]
+    assert found
+    assert all(frame[r["duplicate_of"]] == (r["episode"], r["frame"]) for r in found)
