@@ -155,6 +155,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row for each ``key``, though most rows may have one key.
+
+    Rows are dealt to as many shares as there are partitions, by the column ``by``. A share asks for each of its keys once,
+    so that no key has more rows in a task than there are shares, or than a share of its own rows.
+    """
+    dealt = rows.withColumn("__share", F.pmod(F.xxhash64(by), F.lit(partitions(rows.sparkSession))))
+    answers = dealt.select(*key, "__share").distinct().join(table, key, how)
+    return dealt.join(answers, [*key, "__share"]).drop("__share")
+
+
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """Components of ``links`` (a, b: long): rows (node, component), component being the smallest node reached.
 
@@ -167,16 +178,15 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         labels = cut(labels)
         near = (
-            both.join(labels.withColumnsRenamed({"node": "b"}), "b")
+            looked_up(both, labels.withColumnRenamed("node", "b"), ["b"], "a")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("component").alias("near"))
         )
         hooked = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
         # a root takes the smallest label that any of its members has seen
-        roots = hooked.groupBy(F.col("old").alias("root")).agg(F.min("new").alias("low"))
-        moved = hooked.join(roots, F.col("old") == F.col("root")).select("node", "old", F.least("new", "low").alias("new"))
-        jump = moved.select(F.col("node").alias("via"), F.col("new").alias("far"))
-        moved = cut(moved.join(jump, F.col("new") == F.col("via"), "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
+        moved = looked_up(hooked, hooked.groupBy("old").agg(F.min("new").alias("low")), ["old"], "node").select("node", "old", F.least("new", "low").alias("new"))
+        jump = moved.select(F.col("node").alias("new"), F.col("new").alias("far"))
+        moved = cut(looked_up(moved, jump, ["new"], "node", "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
         labels = moved.select("node", F.col("new").alias("component"))
         if moved.where("old <> new").limit(1).count() == 0:
             return labels

@@ -2,9 +2,9 @@
 
 Only n-grams that two documents have can be common, so that a document fewer than three quarters of whose n-grams are
 shared has no partner. What is left is ordered by hash; equal sets become one class; classes are dealt to groups, and in
-each group a trie over the ordered sets is traversed for each set, all sets under a branch sharing the overlap so far.
-A branch is left when the n-grams that remain can't bring the overlap to the threshold, or when all that lies under it
-is linked with the probe already.
+each group a trie over the ordered sets is traversed by all sets as probes, all sets under a branch sharing the overlap so
+far. A probe leaves a branch when the n-grams that remain can't bring the overlap to the threshold, or when all that lies
+under it is linked with the probe already.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, grams, mix, partitions, words
+from .common import components, cut, grams, looked_up, mix, partitions, words
 from .shared_keys import per_document, shared_keys
 
 #: Sets that one group of the join holds; larger groups are dealt out by blocks of this size.
@@ -44,88 +44,79 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray
     return -((-percent * (a + b)) // (100 + percent))
 
 
+#: Elements of a stretch that are looked up at once, before probes that can't reach the threshold any more are left behind.
+STEP = 64
+
+
 class Trie:
     """Ordered sets sorted as sequences; a node is a run of them with the stretch that they share."""
 
     def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, rest: np.ndarray | None = None) -> None:
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-        self.order, self.sets = order, [sets[i] for i in order]
-        self.sizes = np.asarray(sizes)[order]
+        sets = [sets[i] for i in order]
+        self.order, self.sizes = order, np.asarray(sizes)[order].astype(np.int64)
         # elements that come after those given, of which nothing is known
-        self.rest = np.zeros(len(order), np.int64) if rest is None else np.asarray(rest)[order]
-        self.length = np.array([len(s) for s in self.sets]) + self.rest
-        self.shared = [0] * len(order)  # with the set before
+        self.rest = np.zeros(len(order), np.int64) if rest is None else np.asarray(rest)[order].astype(np.int64)
+        self.start = np.cumsum([0, *(len(s) for s in sets)])
+        self.length = np.diff(self.start) + self.rest
+        values, self.rank = np.unique(np.concatenate(sets), return_inverse=True)
+        self.width = len(values)
+        # set and element as one number, in order: all sets are searched at once
+        self.entries = np.repeat(np.arange(len(sets)), np.diff(self.start)) * self.width + self.rank
+        self.shared = np.zeros(len(order), np.int64)  # with the set before
         for i in range(1, len(order)):
-            a, b = self.sets[i - 1], self.sets[i]
+            a, b = sets[i - 1], sets[i]
             n = min(len(a), len(b))
             differ = np.flatnonzero(a[:n] != b[:n])
-            self.shared[i] = int(differ[0]) if len(differ) else n
-        names: dict[int, int] = {}
-        self.parent = [names.setdefault(int(labels[i]), at) for at, i in enumerate(order)]
-        self.nodes: dict[tuple[int, int, int], tuple] = {}
-        self.same: set[tuple[int, int, int]] = set()
-
-    def find(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    def node(self, low: int, high: int, depth: int) -> tuple:
-        """Stretch, its end, largest rest and smallest size below, and the children of a node."""
-        key = (low, high, depth)
-        if (known := self.nodes.get(key)) is None:
-            end = len(self.sets[low]) if high - low == 1 else min(self.shared[low + 1 : high])
-            cuts = [low, *(i for i in range(low + 1, high) if self.shared[i] == end), high]
-            children = [] if high - low == 1 else [(a, b, end) for a, b in zip(cuts, cuts[1:], strict=False)]
-            known = self.nodes[key] = (self.sets[low][depth:end], end, int(self.length[low:high].max()) - end, int(self.sizes[low:high].min()), int(self.sizes[low:high].max()), children)
-        return known
-
-    def uniform(self, key: tuple[int, int, int]) -> bool:
-        """Whether all sets of a node are in one component (which stays so)."""
-        if key in self.same:
-            return True
-        low, high, _ = key
-        root = self.find(low)
-        if all(self.find(i) == root for i in range(low + 1, high)):
-            self.same.add(key)
-            return True
-        return False
+            self.shared[i] = differ[0] if len(differ) else n
+        self.component = np.unique(np.asarray(labels)[order], return_inverse=True)[1]
 
     def links(self, percent: int, join: bool = True) -> Iterator[tuple[int, int]]:
         """Pairs of sets (their numbers) that are similar enough, as many as join everything that can be joined.
 
-        Without ``join`` every pair of different components, once for either of the two, that may still be similar enough.
+        Without ``join`` every pair of different components that may still be similar enough. All sets go down the trie
+        together as probes: those at a node have their overlaps with the path to it, counted once for all sets below.
         """
-        for probe, own in enumerate(self.sets):
-            size = int(self.sizes[probe])
-            stack = [((0, len(self.sets), 0), 0, 0)]
-            while stack:
-                key, at, overlap = stack.pop()
-                if self.find(key[0]) == self.find(probe) and self.uniform(key):
-                    continue
-                stretch, _, rest, least, most, children = self.node(*key)
-                if most * 100 < percent * size or size * 100 < percent * least:
-                    continue
-                if len(stretch):
-                    found = np.searchsorted(own[at:], stretch) + at
-                    common = own[np.minimum(found, len(own) - 1)] == stretch
-                    hits = int(np.count_nonzero(common & (found < len(own))))
-                    at, overlap = int(found[-1]), overlap + hits
-                if overlap + min(len(own) - at + int(self.rest[probe]), rest) < needed(size, max(least, -(-percent * size // 100)), percent):
-                    continue
-                if children:
-                    stack += [(child, at, overlap) for child in children]
-                else:
-                    other = key[0]
-                    # equal sets are under one node; each of them is a leaf of its own
-                    if other != probe and not join:
-                        yield self.order[probe], self.order[other]
-                    elif other != probe and overlap >= needed(size, int(self.sizes[other]), percent):
-                        a, b = self.find(probe), self.find(other)
-                        self.parent[max(a, b)] = min(a, b)
-                        yield self.order[probe], self.order[other]
+        n = len(self.order)
+        stack = [(0, n, 0, np.arange(n), np.zeros(n, np.int64), np.diff(self.start))]
+        while stack:
+            low, high, depth, probes, overlap, left = stack.pop()
+            leaf = high - low == 1
+            keep = probes > low  # every pair is met once, at the set that sorts first
+            own = self.component[low]
+            if (self.component[low:high] == own).all():
+                keep &= self.component[probes] != own
+            least, most = self.sizes[low:high].min(), self.sizes[low:high].max()
+            size = self.sizes[probes]
+            keep &= (most * 100 >= percent * size) & (size * 100 >= percent * least)
+            end = self.start[low + 1] - self.start[low] if leaf else self.shared[low + 1 : high].min()
+            longest = self.length[low:high].max()
+            while True:
+                if not keep.all():
+                    probes, overlap, left = probes[keep], overlap[keep], left[keep]
+                if not len(probes) or depth == end:
+                    break
+                stretch = self.rank[self.start[low] + depth : self.start[low] + min(end, depth + STEP)]
+                depth += len(stretch)
+                wanted = probes[:, None] * self.width + stretch
+                found = np.searchsorted(self.entries, wanted)
+                hit = self.entries[np.minimum(found, len(self.entries) - 1)] == wanted
+                overlap = overlap + hit.sum(axis=1)
+                left = self.start[probes + 1] - found[:, -1] - hit[:, -1]
+                size = self.sizes[probes]
+                keep = overlap + np.minimum(left + self.rest[probes], longest - depth) >= needed(size, np.maximum(least, -(-percent * size // 100)), percent)
+            if not len(probes):
+                continue
+            if not leaf:
+                cuts = [low, *(low + 1 + np.flatnonzero(self.shared[low + 1 : high] == end)).tolist(), high]
+                stack += [(a, b, depth, probes, overlap, left) for a, b in zip(cuts, cuts[1:], strict=False)]
+            elif join:
+                for probe in probes[overlap >= needed(self.sizes[probes], self.sizes[low], percent)].tolist():
+                    if self.component[probe] != self.component[low]:
+                        self.component[self.component == self.component[probe]] = self.component[low]
+                        yield self.order[probe], self.order[low]
+            else:
+                yield from ((self.order[probe], self.order[low]) for probe in probes.tolist())
 
 
 def _pack48(keys: np.ndarray) -> bytes:
@@ -251,9 +242,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, id_column
         return pa.RecordBatch.from_arrays(columns, names=["doc", "n", "have", "m0", "m1", "keys"])
 
     sets = cut(per_document(packed, rows, "doc long, n long, have long, m0 long, m1 long, keys binary"))
-    able = sets.where("keys is not null")
-    reps = able.groupBy("m0", "m1").agg(F.min("doc").alias("rep"))
-    classes = cut(able.join(reps, ["m0", "m1"]).select("m0", "m1", "doc", "rep"))
+    able = sets.where("keys is not null").select("doc", "m0", "m1")
+    classes = cut(looked_up(able, able.groupBy("m0", "m1").agg(F.min("doc").alias("rep")), ["m0", "m1"], "doc").select("doc", "rep"))
     single = classes.where("doc = rep").select("doc")
     own = sets.select(F.col("doc").alias("member"), "n", "have", "keys").join(single.withColumnRenamed("doc", "member"), "member", "left_semi")
     leads = cut(_leading(own, percent))
@@ -288,9 +278,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, id_column
     again = _starred(pairs.select(F.col("a").alias("leader"), F.col("b").alias("member"))).join(own, "member")
     final = components(links.union(_joined(again, percent)))
 
-    return (
-        sets.select("doc", "n").join(classes.select("doc", "rep"), "doc", "left")
-        .select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("rep", "doc").alias("rep"))
-        .join(final, F.col("rep") == F.col("node"), "left")
-        .select(id_column, "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    )
+    rows = sets.select("doc", "n").join(classes, "doc", "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
+    found = looked_up(rows, final.withColumnRenamed("node", "rep"), ["rep"], "doc", "left")
+    return found.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
