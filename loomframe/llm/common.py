@@ -138,9 +138,11 @@ def unsqueeze(data: bytes, kind: type) -> np.ndarray:
 
 
 def shared_folder(spark: SparkSession) -> None:
-    """Set a checkpoint folder only where the cluster has named none, as in tests."""
+    """Set a checkpoint folder only where the cluster has named none, as in tests, whose driver and executors are one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("checkpoints need a shared folder: set spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(named or "spark-warehouse/checkpoints")
 
 
