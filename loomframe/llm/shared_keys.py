@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from .common import mix, pack, partitions, slices, unpack
 
 #: Keys that a mapper gathers before it sorts them and sends them on.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 _FIELDS = "target int, kind int, keys binary, docs binary"
 _NAMES = ["target", "kind", "keys", "docs"]
 _UNSURE, _SHARED, _SIZES = 0, 1, 2
