@@ -51,8 +51,9 @@ def chain(joints: list[tuple[list[Column], list[Column]]], point: list[Column])
 
 
 def visible(rendered: Column, scene: Column, tolerance: float) -> Column:
-    """Whether a rendered depth isn't hidden: the scene has no depth there or lies no more than ``tolerance`` before it."""
-    return rendered.isNotNull() & (rendered > 0) & (F.coalesce(scene, F.lit(0.0)) <= 0) | F.coalesce(rendered <= scene + tolerance, F.lit(False))
+    """Whether a rendered pixel is in view: both depths are finite and above 0, and no more than ``tolerance`` apart."""
+    known = lambda d: (d > 0) & (d < float("inf"))
+    return F.coalesce(known(rendered) & known(scene) & (F.abs(rendered - scene) <= tolerance), F.lit(False))
 
 
 def saturated_blue(red: Column, green: Column, blue: Column) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words that a query may not hold: fixed values.
-FORBIDDEN = ("the", "a", "an", "left", "right", "near", "behind", "front", "robot", "gripper", "hand", "arm", "image", "frame")
+FORBIDDEN = (
+    "a", "an", "the", "my", "your", "this", "that", "with", "without", "inside", "outside", "near", "beside", "between", "behind", "under", "over", "above", "below", "left", "right",
+    "foreground", "background", "grab", "grasp", "hold", "holding", "held", "lift", "move", "moving", "pick", "place", "put", "scan", "stack", "take", "transfer", "arm", "hand", "gripper",
+    "item", "object", "stuff", "thing", "bigger", "biggest", "smaller", "smallest", "larger", "largest", "nearest", "farthest",
+)
 
 
 def collapse(text: Column) -> Column:
@@ -14,22 +20,33 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def query_reason(query: Column) -> Column:
-    """Why a query of one to four lower-case words is refused; null if it isn't."""
-    words = F.split(query, " ")
+def query_reason(query: Column, visual_object: bool = False) -> Column:
+    """Why a query of one to four lower-case words is refused; null if it isn't.
+
+    With ``visual_object`` the last of several words may be "object".
+    """
+    plain = collapse(F.coalesce(query, F.lit("")))
+    words = F.split(F.replace(plain, F.lit("-"), F.lit(" ")), " ")
+    barred = F.array_intersect(words, F.array(*map(F.lit, FORBIDDEN)))
+    if visual_object:
+        barred = F.when((F.size(words) > 1) & (F.element_at(words, -1) == "object"), F.array_remove(barred, "object")).otherwise(barred)
     return (
-        F.when(F.coalesce(query, F.lit("")) == "", "empty").when(~query.rlike(r"^[a-z]+(-[a-z]+)*( [a-z]+(-[a-z]+)*)*$"), "grammar")
-        .when(F.size(words) > 4, "too_long").when(F.arrays_overlap(words, F.array(*map(F.lit, FORBIDDEN))), "forbidden")
-        .when(F.array_contains(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), "object"), "object_not_last")
+        F.when(plain == "", "empty").when(plain != F.lower(plain), "case").when(~plain.rlike(r"^[a-z]+(-[a-z]+)*( [a-z]+(-[a-z]+)*){0,3}$"), "grammar")
+        .when(F.size(barred) > 0, F.concat(F.lit("forbidden: "), F.array_join(F.array_sort(barred), ", ")))
     )
 
 
+@F.pandas_udf(T.StringType())
+def _ascii(text: pd.Series) -> pd.Series:
+    """Compatibility forms taken apart, and of these what is ASCII: Spark has no such function."""
+    return text.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+
+
 def slug(text: Column, length: int = 96, default: str = "task") -> Column:
-    """Lower-case letters and digits joined by underscores, accents of Latin letters dropped."""
-    plain = F.translate(F.lower(text), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-    joined = F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    """Lower-case ASCII letters and digits joined by underscores, accents dropped."""
+    joined = F.regexp_replace(F.regexp_replace(F.lower(_ascii(F.coalesce(text, F.lit("")))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
     cut = F.regexp_replace(F.substring(joined, 1, length), "_+$", "")
-    return F.when(F.coalesce(cut, F.lit("")) == "", default).otherwise(cut)
+    return F.when(cut == "", default).otherwise(cut)
 
 
 def episode_name(number: Column) -> Column:
@@ -41,10 +58,11 @@ def chunk_name(number: Column) -> Column:
 
 
 def duration(seconds: Column) -> Column:
-    """H:MM:SS of whole seconds."""
-    s = seconds.cast("long")
+    """Whole seconds, 0 at least, as MM:SS, from an hour on as H:MM:SS."""
+    s = F.greatest(seconds.cast("long"), F.lit(0))
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
-    return F.concat(F.floor(s / 3600).cast("string"), F.lit(":"), two(F.floor(s % 3600 / 60)), F.lit(":"), two(s % 60))
+    rest = F.concat(two(F.floor(s % 3600 / 60)), F.lit(":"), two(s % 60))
+    return F.when(s < 3600, rest).otherwise(F.concat(F.floor(s / 3600).cast("string"), F.lit(":"), rest))
 
 
 def strict_json_reason(text: Column, keys: tuple[str, ...]) -> Column:

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 #: Statuses after which a run has failed: fixed values of the run records.
 FAILED = ("failed", "sam_incomplete", "gripper_incomplete", "not_run_after_fatal_cuda", "render_failed")
 
+#: Statuses by category, and marks of errors after which a device can't be used: fixed values.
+SUCCESS = ("complete", "completed", "ok", "passed", "rendered", "succeeded", "success", "validated")
+SKIPPED = ("dataset_excluded", "discovery_skipped", "planned", "skipped", "skipped_complete", "source_excluded")
+RUNNING = ("in_progress", "processing", "running")
+PENDING = ("pending", "queued", "ready", "waiting")
+FATAL = ("cuda is unavailable", "cuda error", "cuda-capable device", "cuda initialization", "device-side assert", "unspecified launch failure", "failed to load sam3")
+
 
 def mechanical_gate(area: Column, low: float, high: float, duplicate_of: Column) -> Column:
     """First reason against a candidate, in order: empty, too small, too large, duplicate; else valid."""
@@ -29,16 +36,16 @@ def seed_gate(c: dict[str, Column], pixels: int = 24, dark: float = 0.8, compone
 
 def status_category(status: Column) -> Column:
     """A run status as one of success, skipped, not_run, running, pending, failed."""
-    s = F.regexp_replace(F.lower(F.trim(F.coalesce(status, F.lit("")))), r"[\s-]+", "_")
+    s = F.translate(F.lower(F.regexp_replace(F.coalesce(status, F.lit("")), r"^\s+|\s+$", "")), "- ", "__")
     return (
-        F.when(s.isin("", "pending"), "pending").when(s.isin("completed", "complete", "passed", "ok"), "success").when(s.startswith("skipped"), "skipped")
-        .when(s.startswith("not_run"), "not_run").when(s.isin("running", "started"), "running").otherwise("failed")
+        F.when(s.isin(*SUCCESS), "success").when(s.isin(*SKIPPED) | s.startswith("skipped_"), "skipped").when((s == "not_run") | s.startswith("not_run_"), "not_run")
+        .when(s.isin(*RUNNING), "running").when(s.isin(*PENDING) | (s == ""), "pending").otherwise("failed")
     )
 
 
 def fatal(error: Column) -> Column:
     """Whether an error leaves the device unusable."""
-    return F.coalesce(F.lower(error).rlike("cuda error|device-side assert|illegal memory access|cudnn_status|out of memory|cublas_status|nvml"), F.lit(False))
+    return F.coalesce(F.greatest(*(F.contains(F.lower(error), F.lit(m)) for m in FATAL)), F.lit(False))
 
 
 def verdicts(records: DataFrame, key: str = "run") -> DataFrame:
@@ -73,15 +80,27 @@ def best_run(runs: DataFrame, key: str, *by: str) -> DataFrame:
     return runs.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")
 
 
+def measured(depth: Column) -> Column:
+    """Whether a depth is a finite number above 0."""
+    return F.coalesce((depth > 0) & (depth < float("inf")), F.lit(False))
+
+
 def depth_agreement(pixels: DataFrame, key: str, tolerance: float = 8.0) -> DataFrame:
-    """Counts, share and residuals of rendered against scene depth (null or not positive: not comparable)."""
-    ok = F.col("scene").isNotNull() & (F.col("scene") > 0)
+    """Counts, share and residuals of rendered against scene depth; pixels without a rendered depth don't count."""
+    drawn = measured(F.col("rendered"))
+    ok = drawn & measured(F.col("scene"))
     residual = F.col("rendered") - F.col("scene")
     near = ok & (F.abs(residual) <= tolerance)
     of = lambda c, q: F.percentile(F.when(ok, c), F.lit(q))
     return pixels.groupBy(key).agg(
-        F.count("*").alias("rendered"), F.count_if(ok).alias("comparable"), F.count_if(near).alias("consistent"),
+        F.count_if(drawn).alias("rendered"), F.count_if(ok).alias("comparable"), F.count_if(near).alias("consistent"),
         F.round(F.coalesce(F.try_divide(F.count_if(near), F.count_if(ok)), F.lit(0.0)), 6).alias("fraction"), F.round(of(F.abs(residual), 0.5), 6).alias("median_residual"),
         F.round(of(F.abs(residual), 0.9), 6).alias("p90_residual"), F.round(of(residual, 0.5), 6).alias("signed_median"),
         F.count_if(ok & (residual < -tolerance)).alias("in_front"), F.count_if(ok & (residual > tolerance)).alias("behind"),
     )
+
+
+def depth_support(pixels: Column, fraction: Column, residual: Column, least_pixels: int, least_fraction: float, most_residual: float | None = None) -> Column:
+    """Whether a depth agreement carries enough: consistent pixels, their share, and, if asked for, the median residual."""
+    enough = (pixels >= least_pixels) & (fraction >= least_fraction)
+    return F.coalesce(enough if most_residual is None else enough & (F.coalesce(residual, F.lit(float("inf"))) <= most_residual), F.lit(False))

@@ -157,18 +157,40 @@ def last_known(value: Column, window: Window) -> Column:
 
 
 def semantic_frames(events: DataFrame, seeds: int = 4, margin: int = 4) -> DataFrame:
-    """episode, frame, purpose: seeds spread before closing, and the middles of the later phases; seeds win a frame."""
+    """episode, frame, purpose, roles of what is shown of each episode; the first purpose of a frame counts.
+
+    Seeds are spread before closing. A pick and place has two frames after the grasp and one of placing; a target that is
+    only held (close_end given, open_start null) two after the grasp. frames: the episode's number of frames.
+    """
     c = F.col
-    seed = F.transform(uniform_sample(F.lit(0), F.greatest(F.lit(0), c("close_start") - margin), seeds), lambda f: F.struct(f.alias("frame"), F.lit(0).alias("rank"), F.lit("seed").alias("purpose")))
-    context = F.array(
-        F.struct(F.floor((c("close_done") + c("open_start")) / 2).cast("int").alias("frame"), F.lit(1).alias("rank"), F.lit("transport").alias("purpose")),
-        F.struct(c("open_done").cast("int").alias("frame"), F.lit(2).alias("rank"), F.lit("placement").alias("purpose")),
-    )
+    loop = c("open_start").isNotNull()
+    last, both, target, receiver = c("frames") - 1, F.array(F.lit("target"), F.lit("receiver")), F.array(F.lit("target")), F.array(F.lit("receiver"))
+
+    def shown(frame: Column, rank: int, purpose: str, roles: Column) -> Column:
+        inside = F.least(F.greatest(frame, F.lit(0)), last).cast("int")
+        return F.struct(inside.alias("frame"), F.lit(rank).alias("rank"), F.lit(purpose).alias("purpose"), roles.alias("roles"))
+
+    spread = uniform_sample(F.lit(0), F.greatest(F.lit(0), c("close_start") - margin), seeds)
+    seed = F.transform(spread, lambda f: shown(f, 0, "pre_grasp_seed_candidate", F.when(loop, both).otherwise(target)))
+    done = F.coalesce("close_done", "close_end")
+    held = F.least(done + 1, last)
+    context = F.when(loop, F.array(
+        shown(F.least(done + 1, c("open_start") - 1), 1, "post_grasp_context", target), shown(F.floor((done + c("open_start")) / 2), 2, "post_grasp_context", target),
+        shown(F.least(c("open_start") + 1, c("open_done")), 3, "place_context", receiver),
+    )).otherwise(F.array(shown(held, 1, "post_grasp_context", target), shown(F.floor((held + last) / 2), 2, "post_grasp_context", target)))
     rows = events.select("episode", F.inline(F.concat(seed, context)))
-    return rows.groupBy("episode", "frame").agg(F.min_by("purpose", "rank").alias("purpose"))
+    first = rows.groupBy("episode", "frame").agg(F.min_by(F.struct("purpose", "roles"), "rank").alias("x"))
+    return first.select("episode", "frame", "x.*")
 
 
-def keyframes(events: DataFrame, first_seen: str | None = None) -> DataFrame:
-    """episode, frames: the first frame in view, then the events' frames, each once in that order."""
-    names = [n for n in (first_seen, "close_start", "close_done", "open_start", "open_done") if n]
-    return events.select("episode", F.array_distinct(F.array_compact(F.array(*names))).alias("frames"))
+def seed_candidates(shown: DataFrame, role: str) -> DataFrame:
+    """Frames of ``semantic_frames`` from which a role may be seeded."""
+    return shown.where((F.col("purpose") == "pre_grasp_seed_candidate") & F.array_contains("roles", role)).select("episode", "frame")
+
+
+def keyframes(events: DataFrame, first_seen: str = "first_seen") -> DataFrame:
+    """episode, frames: seven frames of review from the first one in view (null: close_start), each once in that order."""
+    c = F.col
+    seen = F.coalesce(first_seen, "close_start")
+    values = (seen, F.greatest(seen, c("close_start") - 1), c("close_done"), F.floor((c("close_done") + c("open_start")) / 2), F.greatest(c("close_done") + 1, c("open_start") - 1), c("open_start"), c("open_done"))
+    return events.select("episode", F.array_distinct(F.array(*(v.cast("long") for v in values))).alias("frames"))

@@ -281,11 +281,11 @@ def device_pick(spark, d):
     return s.orderBy(c("s_acctbal").desc(), "s_nationkey", "s_suppkey").limit(1).select(c("s_suppkey").alias("device"), F.round("s_acctbal", 2).alias("free"))
 
 
-@query("""WITH p AS (SELECT CASE WHEN c_mktsegment < 'F' THEN 'clean' ELSE 'mixed' END AS domain, CASE WHEN c_custkey % 4 = 0 THEN 'left' ELSE 'right' END AS arm FROM customer WHERE c_custkey <= 60),
+@query("""WITH p AS (SELECT CASE WHEN c_mktsegment < 'F' THEN 'clean' ELSE 'mixed' END AS domain, CASE WHEN c_custkey % 4 = 0 THEN 'left' ELSE 'right' END AS arm FROM customer),
 q AS (SELECT domain, count(CASE WHEN arm = 'left' THEN 1 END) AS l, count(CASE WHEN arm = 'right' THEN 1 END) AS r FROM p GROUP BY 1), o AS (SELECT x, y FROM range(11) a(x), range(11) b(y), q c, q m WHERE c.domain = 'clean' AND m.domain = 'mixed' AND x <= c.l AND y <= m.l AND 10 - x <= c.r AND 10 - y <= m.r)
 SELECT 'clean' AS first_domain, 'mixed' AS second_domain, x::INT AS first_left, y::INT AS second_left FROM o ORDER BY abs(x + y - 10), abs(x - y), x, y LIMIT 1""")
 def quota_allocation(spark, d):
-    p = src.table(spark, d, "customer").where("c_custkey <= 60").select(F.when(c("c_mktsegment") < "F", "clean").otherwise("mixed").alias("domain"), F.when(c("c_custkey") % 4 == 0, "left").otherwise("right").alias("arm"))
+    p = src.table(spark, d, "customer").select(F.when(c("c_mktsegment") < "F", "clean").otherwise("mixed").alias("domain"), F.when(c("c_custkey") % 4 == 0, "left").otherwise("right").alias("arm"))
     return kernels.chosen_quota(p.groupBy("domain", "arm").agg(F.count("*").alias("n")), 10)
 
 
@@ -349,9 +349,16 @@ def reconcile(spark, d):
     return manifest.reconcile(r.where("episode % 7 <> 0"), new, ("task", "status"))
 
 
-@query(f"""WITH {_REC}, f AS (SELECT *, coalesce(max((error LIKE 'CUDA error%')::INT) OVER (PARTITION BY run ORDER BY episode ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM rec) SELECT run, episode, CASE WHEN stopped = 1 THEN 'not_run_after_fatal_cuda' ELSE status END AS status FROM f""")
+_ERROR = "CASE o_orderkey % 41 WHEN 0 THEN 'CUDA error: an illegal memory access' WHEN 1 THEN 'out of memory' WHEN 2 THEN 'Failed to load SAM3 weights' WHEN 3 THEN 'cudnn_status' WHEN 4 THEN 'no CUDA-capable device is detected' END"
+_IS_FATAL = "(" + " OR ".join(f"contains(lower(error), '{m}')" for m in quality.FATAL) + ")"
+
+
+@query(f"""WITH r AS (SELECT o_custkey AS run, o_orderkey AS episode, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'failed' END AS status, {_ERROR} AS error FROM orders),
+f AS (SELECT *, coalesce({_IS_FATAL}, false) AS fatal, coalesce(max({_IS_FATAL}::INT) OVER (PARTITION BY run ORDER BY episode ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM r) SELECT run, episode, fatal, CASE WHEN stopped = 1 THEN 'not_run_after_fatal_cuda' ELSE status END AS status FROM f""")
 def fatal_cutoff(spark, d):
-    return manifest.fatal_cutoff(src.records(spark, d)).select("run", "episode", "status")
+    errors = src.table(spark, d, "orders").select(c("o_orderkey").alias("episode"), F.expr(_ERROR).alias("error"))
+    r = src.records(spark, d).drop("error").join(errors, "episode")
+    return manifest.fatal_cutoff(r).select("run", "episode", quality.fatal(c("error")).alias("fatal"), "status")
 
 
 @query(f"WITH {_REC} SELECT run, count(*) AS records, count(CASE WHEN status = 'failed' THEN 1 END) AS failures, NOT bool_or(status = 'failed') AS passed FROM rec GROUP BY 1")
@@ -369,10 +376,16 @@ def status_pivot(spark, d):
     return manifest.pivot_statuses(src.records(spark, d), "task", ("completed", "failed", "pending"))
 
 
-_RAW = "CASE event_id % 8 WHEN 0 THEN ' Completed ' WHEN 1 THEN 'skipped-complete' WHEN 2 THEN 'not run here' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'Running' WHEN 6 THEN 'weird' ELSE 'passed' END"
+_STATUSES = (" Completed ", "skipped-complete", "not run here", "", "Running", "weird", "passed", "planned", "Rendered", "in progress", "queued", "waiting", "skippedness", "skipped_by_hand", "source-excluded", "not_run", "started")
+_RAW = "CASE event_id % 18 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_STATUSES)) + " END"
+
+
+def _listed(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-@query(f"""WITH e AS (SELECT event_id, regexp_replace(lower(trim(coalesce({_RAW}, ''))), '[\\s-]+', '_', 'g') AS s FROM events) SELECT event_id, CASE WHEN s IN ('', 'pending') THEN 'pending' WHEN s IN ('completed', 'complete', 'passed', 'ok') THEN 'success' WHEN s LIKE 'skipped%' THEN 'skipped' WHEN s LIKE 'not_run%' THEN 'not_run' WHEN s IN ('running', 'started') THEN 'running' ELSE 'failed' END AS category FROM e""")
+@query(f"""WITH e AS (SELECT event_id, translate(lower(trim(coalesce({_RAW}, ''))), '- ', '__') AS s FROM events) SELECT event_id, CASE WHEN s IN ({_listed(quality.SUCCESS)}) THEN 'success' WHEN s IN ({_listed(quality.SKIPPED)}) OR starts_with(s, 'skipped_') THEN 'skipped'
+WHEN s = 'not_run' OR starts_with(s, 'not_run_') THEN 'not_run' WHEN s IN ({_listed(quality.RUNNING)}) THEN 'running' WHEN s IN ({_listed(quality.PENDING)}, '') THEN 'pending' ELSE 'failed' END AS category FROM e""")
 def status_category(spark, d):
     return src.table(spark, d, "events").select("event_id", quality.status_category(F.expr(_RAW)).alias("category"))
 
@@ -389,11 +402,11 @@ def lineage_digest(spark, d):
 # --- aggregates
 
 
-@query("""WITH p AS (SELECT l_returnflag AS role, l_extendedprice AS r, CASE WHEN l_linenumber <> 4 THEN l_extendedprice + (l_quantity - 25) END AS s FROM lineitem), q AS (SELECT *, s IS NOT NULL AND s > 0 AS ok, r - s AS d FROM p)
-SELECT role, count(*) AS rendered, count(CASE WHEN ok THEN 1 END) AS comparable, count(CASE WHEN ok AND abs(d) <= 8 THEN 1 END) AS consistent, round(count(CASE WHEN ok AND abs(d) <= 8 THEN 1 END) / count(CASE WHEN ok THEN 1 END), 6) AS fraction,
+@query("""WITH p AS (SELECT l_returnflag AS role, CASE WHEN l_linenumber = 5 THEN 0 WHEN l_linenumber <> 6 THEN l_extendedprice END AS r, CASE WHEN l_linenumber <> 4 THEN l_extendedprice + (l_quantity - 25) END AS s FROM lineitem), q AS (SELECT *, coalesce(r > 0, false) AS drawn, coalesce(r > 0 AND s > 0, false) AS ok, r - s AS d FROM p)
+SELECT role, count(CASE WHEN drawn THEN 1 END) AS rendered, count(CASE WHEN ok THEN 1 END) AS comparable, count(CASE WHEN ok AND abs(d) <= 8 THEN 1 END) AS consistent, round(count(CASE WHEN ok AND abs(d) <= 8 THEN 1 END) / count(CASE WHEN ok THEN 1 END), 6) AS fraction,
 round(quantile_cont(CASE WHEN ok THEN abs(d) END, 0.5), 6) AS median_residual, round(quantile_cont(CASE WHEN ok THEN abs(d) END, 0.9), 6) AS p90_residual, round(quantile_cont(CASE WHEN ok THEN d END, 0.5), 6) AS signed_median, count(CASE WHEN ok AND d < -8 THEN 1 END) AS in_front, count(CASE WHEN ok AND d > 8 THEN 1 END) AS behind FROM q GROUP BY 1""")
 def depth_agreement(spark, d):
-    p = src.table(spark, d, "lineitem").select(c("l_returnflag").alias("role"), c("l_extendedprice").alias("rendered"), F.when(c("l_linenumber") != 4, c("l_extendedprice") + (c("l_quantity") - 25)).alias("scene"))
+    p = src.table(spark, d, "lineitem").select(c("l_returnflag").alias("role"), F.when(c("l_linenumber") == 5, 0.0).when(c("l_linenumber") != 6, c("l_extendedprice")).alias("rendered"), F.when(c("l_linenumber") != 4, c("l_extendedprice") + (c("l_quantity") - 25)).alias("scene"))
     return quality.depth_agreement(p, "role")
 
 
@@ -423,15 +436,20 @@ def normalize_text(spark, d):
     return src.table(spark, d, "conversations").select("conv_id", "turn", text.collapse(c("text")).alias("collapsed"))
 
 
-_FORBID = ", ".join(f"'{w}'" for w in text.FORBIDDEN)
+_ASKED = "CASE p_partkey % 8 WHEN 0 THEN lower(p_name) WHEN 1 THEN 'object ' || lower(p_type) WHEN 2 THEN p_type WHEN 3 THEN 'left-hand  cup' WHEN 4 THEN 'red cup object' WHEN 5 THEN 'object' WHEN 6 THEN ' shiny   tin-can ' END"
 
 
-@query(f"""WITH p AS (SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN lower(p_name) WHEN 1 THEN 'object ' || lower(p_type) WHEN 2 THEN p_type WHEN 3 THEN 'left cup' ELSE 'red cup object' END AS q FROM part), w AS (SELECT *, string_split(q, ' ') AS s FROM p)
-SELECT id, CASE WHEN coalesce(q, '') = '' THEN 'empty' WHEN NOT regexp_full_match(q, '[a-z]+(-[a-z]+)*( [a-z]+(-[a-z]+)*)*') THEN 'grammar' WHEN len(s) > 4 THEN 'too_long' WHEN list_has_any(s, [{_FORBID}]) THEN 'forbidden' WHEN list_contains(s[1:len(s)-1], 'object') THEN 'object_not_last' END AS reason FROM w""")
+def _grammar_sql(visual: bool) -> str:
+    words = "string_split(replace(q, '-', ' '), ' ')"
+    but = f" AND NOT (x = 'object' AND len({words}) > 1 AND {words}[-1] = 'object')" if visual else ""
+    barred = f"list_filter(list_distinct({words}), lambda x: x IN ({_listed(text.FORBIDDEN)}){but})"
+    return f"CASE WHEN q = '' THEN 'empty' WHEN q <> lower(q) THEN 'case' WHEN NOT regexp_full_match(q, '[a-z]+(-[a-z]+)*( [a-z]+(-[a-z]+)*){{0,3}}') THEN 'grammar' WHEN len({barred}) > 0 THEN 'forbidden: ' || array_to_string(list_sort({barred}), ', ') END"
+
+
+@query(f"""WITH p AS (SELECT p_partkey AS id, trim(regexp_replace(coalesce({_ASKED}, ''), '\\s+', ' ', 'g')) AS q FROM part) SELECT id, {_grammar_sql(False)} AS reason, {_grammar_sql(True)} AS visual_reason FROM p""")
 def query_grammar(spark, d):
-    k = c("p_partkey") % 5
-    q = F.when(k == 0, F.lower("p_name")).when(k == 1, F.concat(F.lit("object "), F.lower("p_type"))).when(k == 2, c("p_type")).when(k == 3, "left cup").otherwise("red cup object")
-    return src.table(spark, d, "part").select(c("p_partkey").alias("id"), text.query_reason(q).alias("reason"))
+    q = F.expr(_ASKED)
+    return src.table(spark, d, "part").select(c("p_partkey").alias("id"), text.query_reason(q).alias("reason"), text.query_reason(q, True).alias("visual_reason"))
 
 
 @query("""WITH p AS (SELECT p_partkey AS id, [lower(p_brand), p_type] AS bank, string_split(p_name, ' ')[1:3] AS aliases FROM part), x AS (SELECT id, unnest(list_transform(list_concat(bank, aliases), lambda v: lower(v))) AS q, unnest(range(len(bank) + len(aliases))) AS pos FROM p)
@@ -441,14 +459,14 @@ def query_plan(spark, d):
     return p.select(c("p_partkey").alias("id"), F.array_join(text.query_plan(F.array(F.lower("p_brand"), c("p_type")), F.split("p_name", " ")), ",").alias("plan"))
 
 
-@query("""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(translate(lower(substr(text, 1, 150)), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS s FROM documents), u AS (SELECT doc_id, regexp_replace(substr(s, 1, 96), '_+$', '') AS s FROM t) SELECT doc_id, CASE WHEN s = '' THEN 'task' ELSE s END AS slug FROM u""")
+@query("""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(coalesce(text, '')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS s FROM documents), u AS (SELECT doc_id, regexp_replace(substr(s, 1, 96), '_+$', '') AS s FROM t) SELECT doc_id, CASE WHEN s = '' THEN 'task' ELSE s END AS slug FROM u""")
 def slug(spark, d):
-    return src.table(spark, d, "documents").select("doc_id", text.slug(F.substring("text", 1, 150)).alias("slug"))
+    return src.table(spark, d, "documents").select("doc_id", text.slug(c("text")).alias("slug"))
 
 
-@query("SELECT o_orderkey AS id, 'episode_' || lpad(o_orderkey::VARCHAR, 6, '0') AS name, 'chunk-' || lpad((o_orderkey // 1000)::VARCHAR, 3, '0') AS chunk, (o_custkey // 3600)::VARCHAR || ':' || lpad((o_custkey % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((o_custkey % 60)::VARCHAR, 2, '0') AS duration FROM orders")
+@query("SELECT o_orderkey AS id, 'episode_' || lpad(o_orderkey::VARCHAR, 6, '0') AS name, 'chunk-' || lpad((o_orderkey // 1000)::VARCHAR, 3, '0') AS chunk, CASE WHEN o_orderkey - 50 >= 3600 THEN ((o_orderkey - 50) // 3600)::VARCHAR || ':' ELSE '' END || lpad((greatest(o_orderkey - 50, 0) % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((greatest(o_orderkey - 50, 0) % 60)::VARCHAR, 2, '0') AS duration FROM orders")
 def id_format(spark, d):
-    return src.table(spark, d, "orders").select(c("o_orderkey").alias("id"), text.episode_name(c("o_orderkey")).alias("name"), text.chunk_name(c("o_orderkey")).alias("chunk"), text.duration(c("o_custkey")).alias("duration"))
+    return src.table(spark, d, "orders").select(c("o_orderkey").alias("id"), text.episode_name(c("o_orderkey")).alias("name"), text.chunk_name(c("o_orderkey")).alias("chunk"), text.duration(c("o_orderkey") - 50).alias("duration"))
 
 
 @query()
@@ -483,7 +501,11 @@ _KIND = "CASE WHEN event_id % 5 = 0 THEN 'failed' WHEN event_id % 3 = 0 THEN 'sk
 
 
 def _state_folder(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "spark-warehouse/streams"
+    """A folder that driver and executors share, in which streams keep their state; in local mode they share any."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("streams need a shared folder: set spark.checkpoint.dir")
+    return named or "spark-warehouse/streams"
 
 
 @query(f"SELECT user_id AS episode, arg_max({_KIND}, event_id) AS status, count(*) AS receipts FROM events GROUP BY 1")
@@ -508,14 +530,14 @@ from ..operators import decisions  # noqa: E402
 from ..sources import episodes, sinks  # noqa: E402
 
 
-@query("""WITH l AS (SELECT l_orderkey AS episode, CASE l_linenumber % 3 WHEN 0 THEN 'video' WHEN 1 THEN 'data' ELSE 'sidecar' END AS kind, CASE WHEN l_orderkey % 50 = 0 THEN 99 ELSE l_orderkey // 1000 END AS chunk FROM lineitem WHERE l_linenumber <= 4),
+@query("""WITH l AS (SELECT l_orderkey AS episode, CASE l_linenumber % 3 WHEN 0 THEN 'video' WHEN 1 THEN 'data' ELSE 'sidecar' END AS kind, CASE WHEN l_orderkey % 50 = 0 THEN 99 ELSE l_orderkey // 1000 END AS chunk FROM lineitem),
 g AS (SELECT episode, count(CASE WHEN kind = 'data' THEN 1 END) AS states, max(CASE WHEN kind = 'data' THEN chunk END) AS chunk, bool_or(kind = 'video') AS v, bool_or(kind = 'sidecar') AS s FROM l GROUP BY 1)
 SELECT episode, chunk, concat_ws(',', CASE WHEN NOT v THEN 'video' END, CASE WHEN NOT s THEN 'sidecar' END) AS missing, CASE WHEN states > 1 THEN 'duplicate' WHEN chunk <> episode // 1000 THEN 'wrong_chunk' WHEN NOT (v AND s) THEN 'incomplete' END AS reason FROM g WHERE states > 0""")
 def episode_discovery(spark, d):
     n = c("l_linenumber") % 3
     kind = F.when(n == 0, "video").when(n == 1, "data").otherwise("sidecar")
     chunk = F.when(c("l_orderkey") % 50 == 0, 99).otherwise(F.floor(c("l_orderkey") / 1000))
-    paths = src.table(spark, d, "lineitem").where("l_linenumber <= 4").select(F.format_string("/d/%s/chunk-%03d/episode_%06d.bin", kind, chunk.cast("bigint"), c("l_orderkey")).alias("path"))
+    paths = src.table(spark, d, "lineitem").select(F.format_string("/d/%s/chunk-%03d/episode_%06d.bin", kind, chunk.cast("bigint"), c("l_orderkey")).alias("path"))
     return episodes.discovered(paths)
 
 
@@ -588,11 +610,11 @@ def visual_review(spark, d):
     return src.table(spark, d, "conversations").select(c("conv_id").alias("id"), "turn", decisions.reviewed(decision, F.when(c("turn") < 2, 0.5).otherwise(0.9), F.when(n % 13 == 0, "parse")).alias("review"))
 
 
-@query(f"""WITH {_masks(0.0)}, n AS (SELECT *, lead(m, 1, m) OVER w AS b FROM mx {_W}), x AS (SELECT episode, frame, list_sum(list_transform(range(64), lambda i: m[i+1] * (1 - b[i+1]))) AS out FROM n) SELECT episode, frame, 'consistent' AS broken FROM x WHERE out > 0 AND frame % 2 = 0""")
+@query(f"""WITH {_masks(0.0)}, n AS (SELECT *, lead(m, 1, m) OVER w AS b FROM mx {_W}), x AS (SELECT episode, frame, list_sum(list_transform(range(64), lambda i: m[i+1] * (1 - b[i+1]))) AS out FROM n) SELECT episode, frame, 'consistent' AS broken FROM x WHERE out > 0""")
 def subset_violations(spark, d):
     w = sequence.by_frame()
     m = src.mask_frames(spark, d).select("episode", "frame", c("mask").alias("visible"), c("mask").alias("consistent"), F.coalesce(F.lead("mask").over(w), c("mask")).alias("evaluable")).withColumn("amodal", c("evaluable"))
-    return decisions.subset_violations(m).where("frame % 2 = 0").select("episode", "frame", "broken")
+    return decisions.subset_violations(m).select("episode", "frame", "broken")
 
 
 @query("""WITH j AS (SELECT l_returnflag AS run, l_quantity > 5 AS e, CASE WHEN l_linenumber = 3 THEN 0 ELSE l_quantity::BIGINT END AS v, l_discount > 0.02 AS a, l_tax AS jump FROM lineitem)
@@ -608,16 +630,38 @@ def stored_differences(spark, d):
     return decisions.stored_differences(o.where("id % 9 <> 0"), o.where("id % 8 <> 0").withColumn("x", F.when(c("id") % 10 == 1, c("x") + 1).otherwise(c("x"))), "id", ("x",))
 
 
-@query(f"""WITH {_runs(0.3, 0.9)}, e AS (SELECT * FROM s4 WHERE open_done IS NOT NULL), x AS (SELECT episode, CASE WHEN greatest(0, close_start - 4) = 0 THEN 0 ELSE round_even(i * greatest(0, close_start - 4) / 3.0::DOUBLE, 0)::INT END AS frame, 0 AS r, 'seed' AS p FROM e, range(4) t(i)
-UNION ALL SELECT episode, ((close_done + open_start) // 2)::INT, 1, 'transport' FROM e UNION ALL SELECT episode, open_done::INT, 2, 'placement' FROM e) SELECT episode, frame, arg_min(p, r) AS purpose FROM x GROUP BY 1, 2""")
+_SHOWN = f"""WITH {_runs(0.3, 0.9)}, e AS (SELECT s4.*, n FROM s4 JOIN (SELECT episode, count(*) AS n FROM sig GROUP BY 1) USING (episode) WHERE close_done IS NOT NULL AND (open_start IS NULL OR open_done IS NOT NULL)),
+x AS (SELECT episode, n, CASE WHEN greatest(0, close_start - 4) = 0 THEN 0 ELSE round_even(i * greatest(0, close_start - 4) / 3.0::DOUBLE, 0)::INT END AS frame, 0 AS r, 'pre_grasp_seed_candidate' AS p, CASE WHEN open_start IS NULL THEN 'target' ELSE 'target,receiver' END AS roles FROM e, range(4) t(i)
+UNION ALL SELECT episode, n, least(close_done + 1, open_start - 1), 1, 'post_grasp_context', 'target' FROM e WHERE open_start IS NOT NULL UNION ALL SELECT episode, n, (close_done + open_start) // 2, 2, 'post_grasp_context', 'target' FROM e WHERE open_start IS NOT NULL
+UNION ALL SELECT episode, n, least(open_start + 1, open_done), 3, 'place_context', 'receiver' FROM e WHERE open_start IS NOT NULL UNION ALL SELECT episode, n, least(close_done + 1, n - 1), 1, 'post_grasp_context', 'target' FROM e WHERE open_start IS NULL
+UNION ALL SELECT episode, n, (least(close_done + 1, n - 1) + n - 1) // 2, 2, 'post_grasp_context', 'target' FROM e WHERE open_start IS NULL),
+shown AS (SELECT episode, least(greatest(frame, 0), n - 1)::INT AS frame, arg_min(p, r) AS purpose, arg_min(roles, r) AS roles FROM x GROUP BY 1, 2)"""
+
+
+def _shown(spark: SparkSession, d: str) -> DataFrame:
+    s = src.signals(spark, d)
+    e = sequence.loop_events(s, closed_at=0.3).where("outcome in ('loop', 'no_open')").join(s.groupBy("episode").agg(F.count("*").alias("frames")), "episode")
+    return sequence.semantic_frames(e.withColumn("close_end", c("close_done")))
+
+
+@query(f"{_SHOWN} SELECT * FROM shown")
 def semantic_frames(spark, d):
-    return sequence.semantic_frames(sequence.loop_events(src.signals(spark, d), closed_at=0.3).where("outcome = 'loop'"))
+    return _shown(spark, d).withColumn("roles", F.array_join("roles", ","))
+
+
+@query(f"{_SHOWN} SELECT episode, frame FROM shown WHERE purpose = 'pre_grasp_seed_candidate' AND contains(roles, 'receiver')")
+def seed_candidates(spark, d):
+    return sequence.seed_candidates(_shown(spark, d), "receiver")
+
+
+_KEY = "list_transform([first, greatest(first, close_start - 1), close_done, (close_done + open_start) // 2, greatest(close_done + 1, open_start - 1), open_start, open_done], lambda x: x::BIGINT)"
 
 
-@query(f"WITH {_runs(0.3, 0.9)} SELECT episode, array_to_string(list_distinct_in_order, ',') AS frames FROM (SELECT episode, list_filter([close_start, close_done, open_start, open_done], lambda x, i: list_position([close_start, close_done, open_start, open_done], x) = i) AS list_distinct_in_order FROM s4 WHERE open_done IS NOT NULL)")
+@query(f"WITH {_runs(0.3, 0.9)}, k AS (SELECT episode, {_KEY} AS v FROM (SELECT *, CASE WHEN episode % 3 = 0 THEN close_start ELSE greatest(0, close_start - episode % 5) END AS first FROM s4 WHERE open_done IS NOT NULL)) SELECT episode, array_to_string(list_filter(v, lambda x, i: list_position(v, x) = i), ',') AS frames FROM k")
 def keyframes(spark, d):
     e = sequence.loop_events(src.signals(spark, d), closed_at=0.3).where("outcome = 'loop'")
-    return sequence.keyframes(e).select("episode", F.array_join(c("frames").cast("array<string>"), ",").alias("frames"))
+    seen = F.when(c("episode") % 3 != 0, F.greatest(F.lit(0), c("close_start") - c("episode") % 5))
+    return sequence.keyframes(e.withColumn("first_seen", seen)).select("episode", F.array_join(c("frames").cast("array<string>"), ",").alias("frames"))
 
 
 @query("""WITH t AS (SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN 'Find the {color} {target} on {place}' WHEN 1 THEN 'Move {target}' ELSE 'no names' END AS s FROM part) SELECT id, array_to_string(list_filter(regexp_extract_all(s, '\\{(\\w+)\\}', 1), lambda x: x NOT IN ('target', 'color')), ',') AS unknown FROM t""")
@@ -643,10 +687,10 @@ def lineage_chain(spark, d):
     return manifest.agreement(r, {"loop": loop, "masks": m}, "episode", ("run", "task"))
 
 
-@query("""WITH a AS (SELECT l_orderkey * 10 + l_linenumber AS path, sha256(l_shipdate::DATE::VARCHAR) AS sha256, l_suppkey AS bytes FROM lineitem WHERE l_linenumber <= 2), b AS (SELECT path, CASE WHEN path % 13 = 0 THEN '' ELSE sha256 END AS sha256, CASE WHEN path % 17 = 0 THEN bytes + 1 ELSE bytes END AS bytes FROM a WHERE path % 19 <> 0),
+@query("""WITH a AS (SELECT l_orderkey * 10 + l_linenumber AS path, sha256(l_shipdate::DATE::VARCHAR) AS sha256, l_suppkey AS bytes FROM lineitem), b AS (SELECT path, CASE WHEN path % 13 = 0 THEN '' ELSE sha256 END AS sha256, CASE WHEN path % 17 = 0 THEN bytes + 1 ELSE bytes END AS bytes FROM a WHERE path % 19 <> 0),
 j AS (SELECT a.path, CASE WHEN b.path IS NULL THEN 'removed' ELSE concat_ws(',', CASE WHEN a.sha256 <> b.sha256 THEN 'sha256' END, CASE WHEN a.bytes <> b.bytes THEN 'bytes' END) END AS change FROM a LEFT JOIN b USING (path)) SELECT * FROM j WHERE change <> ''""")
 def tree_compare(spark, d):
-    a = src.table(spark, d, "lineitem").where("l_linenumber <= 2").select((c("l_orderkey") * 10 + c("l_linenumber")).alias("path"), F.sha2(c("l_shipdate").cast("date").cast("string"), 256).alias("sha256"), c("l_suppkey").alias("bytes"))
+    a = src.table(spark, d, "lineitem").select((c("l_orderkey") * 10 + c("l_linenumber")).alias("path"), F.sha2(c("l_shipdate").cast("date").cast("string"), 256).alias("sha256"), c("l_suppkey").alias("bytes"))
     b = a.where("path % 19 <> 0").select("path", F.when(c("path") % 13 == 0, "").otherwise(c("sha256")).alias("sha256"), F.when(c("path") % 17 == 0, c("bytes") + 1).otherwise(c("bytes")).alias("bytes"))
     return manifest.reconcile(a, b, ("sha256", "bytes"), "path")
 
@@ -676,15 +720,15 @@ def query_bank_rules(spark, d):
     return src.table(spark, d, "part").select(k.alias("id"), text.bank_reason(bank, order).alias("reason"), F.array_join(repaired, ",").alias("repaired"))
 
 
-@query("""WITH p AS (SELECT l_orderkey AS id, l_linenumber AS n, l_discount AS r, l_tax AS q, l_quantity / 50 AS y FROM lineitem WHERE l_linenumber <= 2)
-SELECT id, n, round(cos(y)*cos(q)*1.0 + (cos(y)*sin(q)*sin(r) - sin(y)*cos(r))*2.0 + (cos(y)*sin(q)*cos(r) + sin(y)*sin(r))*3.0 + 0.5, 6) AS x, round(-sin(q) + cos(q)*sin(r)*2.0 + cos(q)*cos(r)*3.0, 6) AS z FROM p""")
+@query("""WITH p AS (SELECT l_orderkey AS id, l_linenumber AS n, l_discount AS r, l_tax AS q, l_quantity / 50 AS y FROM lineitem)
+SELECT id, n, round(cos(y)*cos(q)*1.0 + (cos(y)*sin(q)*sin(r) - sin(y)*cos(r))*2.0 + (cos(y)*sin(q)*cos(r) + sin(y)*sin(r))*3.0 + 0.5, 6) AS x, round(sin(y)*cos(q)*1.0 + (sin(y)*sin(q)*sin(r) + cos(y)*cos(r))*2.0 + (sin(y)*sin(q)*cos(r) - cos(y)*sin(r))*3.0, 6) AS y, round(-sin(q) + cos(q)*sin(r)*2.0 + cos(q)*cos(r)*3.0, 6) AS z FROM p""")
 def rigid_transform(spark, d):
-    p = src.table(spark, d, "lineitem").where("l_linenumber <= 2")
-    x, _, z = geometry.chain([([c("l_discount"), c("l_tax"), c("l_quantity") / 50], [F.lit(0.5), F.lit(0.0), F.lit(0.0)])], [F.lit(1.0), F.lit(2.0), F.lit(3.0)])
-    return p.select(c("l_orderkey").alias("id"), c("l_linenumber").alias("n"), F.round(x, 6).alias("x"), F.round(z, 6).alias("z"))
+    p = src.table(spark, d, "lineitem")
+    x, y, z = geometry.chain([([c("l_discount"), c("l_tax"), c("l_quantity") / 50], [F.lit(0.5), F.lit(0.0), F.lit(0.0)])], [F.lit(1.0), F.lit(2.0), F.lit(3.0)])
+    return p.select(c("l_orderkey").alias("id"), c("l_linenumber").alias("n"), F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), F.round(z, 6).alias("z"))
 
 
-@query("SELECT l_orderkey AS id, l_linenumber AS n, (l_quantity > 0 AND coalesce(CASE WHEN l_linenumber <> 3 THEN l_quantity - (l_suppkey % 7 - 3) * 2 END, 0) <= 0) OR coalesce(l_quantity <= CASE WHEN l_linenumber <> 3 THEN l_quantity - (l_suppkey % 7 - 3) * 2 END + 2, false) AS visible, (l_partkey % 256 >= 80 AND l_partkey % 256 - l_suppkey % 256 >= 30 AND l_partkey % 256 - l_orderkey % 256 >= 20) AS blue FROM lineitem")
+@query("SELECT l_orderkey AS id, l_linenumber AS n, coalesce(l_quantity > 0 AND s > 0 AND abs(l_quantity - s) <= 2, false) AS visible, (l_partkey % 256 >= 80 AND l_partkey % 256 - l_suppkey % 256 >= 30 AND l_partkey % 256 - l_orderkey % 256 >= 20) AS blue FROM (SELECT *, CASE WHEN l_linenumber <> 3 THEN l_quantity - (l_suppkey % 7 - 3) * 2 END AS s FROM lineitem)")
 def pixel_predicates(spark, d):
     scene = F.when(c("l_linenumber") != 3, c("l_quantity") - (c("l_suppkey") % 7 - 3) * 2)
     blue = geometry.saturated_blue(c("l_suppkey") % 256, c("l_orderkey") % 256, c("l_partkey") % 256)
