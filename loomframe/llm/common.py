@@ -176,17 +176,13 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     A node that is linked with nothing has no row.
     """
     both = cut(links.select("a", "b").where("a <> b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component"))
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
     for _ in range(rounds):
-        labels = cut(labels)
-        near = (
-            looked_up(both, labels.withColumnRenamed("node", "b"), ["b"], "a")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
-        )
-        hooked = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
+        # what is used more than once is cut, or the plan would hold it many times
+        near = looked_up(both, labels.withColumnRenamed("node", "b"), ["b"], "a").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        hooked = cut(labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new")))
         # a root takes the smallest label that any of its members has seen
-        moved = looked_up(hooked, hooked.groupBy("old").agg(F.min("new").alias("low")), ["old"], "node").select("node", "old", F.least("new", "low").alias("new"))
+        moved = cut(looked_up(hooked, hooked.groupBy("old").agg(F.min("new").alias("low")), ["old"], "node").select("node", "old", F.least("new", "low").alias("new")))
         jump = moved.select(F.col("node").alias("new"), F.col("new").alias("far"))
         moved = cut(looked_up(moved, jump, ["new"], "node", "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
         labels = moved.select("node", F.col("new").alias("component"))

@@ -92,8 +92,10 @@ class Trie:
             end = self.start[low + 1] - self.start[low] if leaf else self.shared[low + 1 : high].min()
             longest = self.length[low:high].max()
             while True:
+                # the overlap that is needed against what there is and what can still come
+                keep &= overlap + np.minimum(left + self.rest[probes], longest - depth) >= needed(size, np.maximum(least, -(-percent * size // 100)), percent)
                 if not keep.all():
-                    probes, overlap, left = probes[keep], overlap[keep], left[keep]
+                    probes, overlap, left, size = probes[keep], overlap[keep], left[keep], size[keep]
                 if not len(probes) or depth == end:
                     break
                 stretch = self.rank[self.start[low] + depth : self.start[low] + min(end, depth + STEP)]
@@ -103,8 +105,7 @@ class Trie:
                 hit = self.entries[np.minimum(found, len(self.entries) - 1)] == wanted
                 overlap = overlap + hit.sum(axis=1)
                 left = self.start[probes + 1] - found[:, -1] - hit[:, -1]
-                size = self.sizes[probes]
-                keep = overlap + np.minimum(left + self.rest[probes], longest - depth) >= needed(size, np.maximum(least, -(-percent * size // 100)), percent)
+                keep = np.ones(len(probes), bool)
             if not len(probes):
                 continue
             if not leaf:
