@@ -15,6 +15,25 @@ FORBIDDEN = (
 )
 
 
+#: Colours of two words, which go first, and of one: fixed values.
+COLOR_PHRASES = ("light brown", "dark brown", "light gray", "dark gray", "light green", "dark green", "light blue", "dark blue")
+COLOR_WORDS = (
+    "beige", "black", "blue", "brown", "cyan", "gray", "green", "grey", "lime", "magenta", "maroon", "olive", "orange", "pink", "purple", "red", "silver", "teal", "white", "yellow",
+)
+
+
+def color_of(queries: Column) -> Column:
+    """The first colour of two words in any of the queries, else the first word that is a colour; null if there is none."""
+    phrase = F.get(F.filter(F.array(*map(F.lit, COLOR_PHRASES)), lambda p: F.exists(queries, lambda q: F.contains(q, p))), 0)
+    words = F.flatten(F.transform(queries, lambda q: F.split(q, " ")))
+    return F.coalesce(phrase, F.get(F.filter(words, lambda w: w.isin(*COLOR_WORDS)), 0))
+
+
+def run_id(at: Column, unique: Column) -> Column:
+    """Name of a run: its time (UTC session) and eight digits of something unique."""
+    return F.concat_ws("-", F.date_format(at, "yyyyMMdd'T'HHmmss'Z'"), F.substring(unique, 1, 8))
+
+
 def collapse(text: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))

@@ -104,3 +104,8 @@ def depth_support(pixels: Column, fraction: Column, residual: Column, least_pixe
     """Whether a depth agreement carries enough: consistent pixels, their share, and, if asked for, the median residual."""
     enough = (pixels >= least_pixels) & (fraction >= least_fraction)
     return F.coalesce(enough if most_residual is None else enough & (F.coalesce(residual, F.lit(float("inf"))) <= most_residual), F.lit(False))
+
+
+def below(rows: DataFrame, share: Column, least: float) -> DataFrame:
+    """Rows whose share isn't a number or lies below ``least``: violations of a threshold."""
+    return rows.where(share.isNotNull() & (F.isnan(share) | (share < least)))

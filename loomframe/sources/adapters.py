@@ -22,6 +22,16 @@ def signals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def posed(spark: SparkSession, folder: str) -> DataFrame:
+    """``signals`` with a pose, xyz and rpy (arrays of three), for each frame."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    grip, zero = F.least(F.lit(1.0), F.col("value") / 50), F.lit(0.0)
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias("episode"), (F.row_number().over(order) - 1).alias("frame"), grip.alias("grip"), F.array(grip * 0.1, F.col("event_id") % 97 / 1000, zero).alias("xyz"),
+        F.array(zero, zero, F.col("event_id") % 7 * F.lit(0.9)).alias("rpy"),
+    )
+
+
 def mask_frames(spark: SparkSession, folder: str, above: float = 0.0) -> DataFrame:
     """episode, frame, mask (bigint, bit i is pixel i in row order), prob: one mask for each vector of a label."""
     order = Window.partitionBy("label").orderBy("vec_id")

@@ -72,3 +72,43 @@ def inventory(line: Column) -> Column:
 def chunk_path(root: str, kind: str, episode: Column, ending: str) -> Column:
     """Where an episode's file lies; known from its number, so that nothing is listed."""
     return F.format_string(f"{root}/{kind}/chunk-%03d/episode_%06d.{ending}", F.floor(episode / 1000), episode)
+
+
+def metadata(lines: DataFrame) -> DataFrame:
+    """Rows of METADATA's fields from JSON lines (value), with episode, task_text (the first task) and task (the first structured one)."""
+    read = lines.select(F.from_json("value", METADATA).alias("m")).select("m.*")
+    return read.select("*", F.col("episode_index").alias("episode"), F.trim(F.get("tasks", 0)).alias("task_text"), F.get("full_structured_tasks", 0).alias("task"))
+
+
+def task_buckets(rows: DataFrame, tasks: tuple[str, ...]) -> DataFrame:
+    """episodes and whether it is missing, for each of the tasks."""
+    wanted = rows.sparkSession.createDataFrame([(t,) for t in tasks], "task string")
+    counts = rows.where(F.col("task").isin(*tasks)).groupBy("task").agg(F.count("*").alias("episodes"))
+    return wanted.join(counts, "task", "left").select("task", F.coalesce("episodes", F.lit(0)).alias("episodes"), F.col("episodes").isNull().alias("missing"))
+
+
+def joints(states: DataFrame, size: int) -> DataFrame:
+    """episode, frame, left, right: halves of the joints' positions; frames that don't have ``size`` of them are left out."""
+    s = F.col("`observation.state.joint_absolute`")
+    return states.where(F.size(s) == size).select(F.col("episode_index").alias("episode"), F.col("frame_index").alias("frame"), F.slice(s, 1, size // 2).alias("left"), F.slice(s, size // 2 + 1, size // 2).alias("right"))
+
+
+def dynamic_manifest(found: DataFrame) -> DataFrame:
+    """A manifest for each task from its discovered episodes (task, episode, and measures, of which the first one's count)."""
+    measures = [c for c in found.columns if c not in ("task", "episode")]
+    first = F.min_by(F.struct(*measures), "episode")
+    return found.groupBy("task").agg(F.min("episode").alias("smoke"), F.array_sort(F.collect_list("episode")).alias("episodes"), first.alias("m")).select("task", "smoke", "episodes", "m.*")
+
+
+def artifacts(paths: DataFrame, task: str, camera: str, name: str = "masks.npz") -> DataFrame:
+    """run, episode, path of the files ``run/task/episode_N/camera/name`` of a listing."""
+    shape = rf"([^/]+)/{task}/episode_(\d+)/{camera}/{name.replace('.', '[.]')}$"
+    part = lambda i: F.regexp_extract("path", shape, i)
+    return paths.where(F.col("path").rlike(shape)).select(part(1).alias("run"), part(2).cast("bigint").alias("episode"), "path")
+
+
+def filtered_lines(lines: DataFrame, key: str, accepted: DataFrame) -> DataFrame:
+    """JSON lines (value) with kept: whether their key is one of the accepted."""
+    known = accepted.select(F.col(key).alias("__key"), F.lit(True).alias("__there"))
+    of = F.get_json_object("value", f"$.{key}").cast("bigint")
+    return lines.withColumn("__key", of).join(known, "__key", "left").withColumn("kept", F.coalesce("__there", F.lit(False))).drop("__key", "__there")
