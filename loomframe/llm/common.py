@@ -157,15 +157,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def looked_up(rows: DataFrame, table: DataFrame, key: list[str], by: str, how: str = "inner") -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, key: list[str], by: str | tuple[str, ...], how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``table``, which has a row for each ``key``, though most rows may have one key.
 
-    Rows are dealt to as many shares as there are partitions, by the column ``by``. A share asks for each of its keys once,
-    so that no key has more rows in a task than there are shares, or than a share of its own rows.
+    Rows are dealt to as many shares as there are partitions, by one or more columns ``by``. A share asks for each of its keys once,
+    so that no key has more rows in a task than there are shares, or than a share of its own rows. Neither side is
+    broadcast, as many such joins would fill the driver's memory with tables.
     """
-    dealt = rows.withColumn("__share", F.pmod(F.xxhash64(by), F.lit(partitions(rows.sparkSession))))
-    answers = dealt.select(*key, "__share").distinct().join(table, key, how)
-    return dealt.join(answers, [*key, "__share"]).drop("__share")
+    dealt = rows.withColumn("__share", F.pmod(F.xxhash64(*([by] if isinstance(by, str) else by)), F.lit(partitions(rows.sparkSession))))
+    answers = dealt.select(*key, "__share").distinct().join(table.hint("merge"), key, how)
+    return dealt.join(answers.hint("merge"), [*key, "__share"]).drop("__share")
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
@@ -180,7 +181,7 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         # what is used more than once is cut, or the plan would hold it many times
         near = looked_up(both, labels.withColumnRenamed("node", "b"), ["b"], "a").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        hooked = cut(labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new")))
+        hooked = cut(labels.join(near.hint("merge"), "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new")))
         # a root takes the smallest label that any of its members has seen
         moved = cut(looked_up(hooked, hooked.groupBy("old").agg(F.min("new").alias("low")), ["old"], "node").select("node", "old", F.least("new", "low").alias("new")))
         jump = moved.select(F.col("node").alias("new"), F.col("new").alias("far"))
