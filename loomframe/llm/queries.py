@@ -33,7 +33,7 @@ def piece_model() -> str:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 400-byte strings that occur elsewhere too."""
     kept = remove_repeats(_table(spark, sf_dir, "documents"), 400)
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "longest_shared")
 
 
 def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:

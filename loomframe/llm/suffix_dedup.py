@@ -3,8 +3,9 @@
 Texts are parsed into phrases that end at content-defined anchors, so that equal strings are parsed alike wherever they
 lie. Phrases whose surroundings occur once in the corpus can't lie in a repeat and are set aside. The suffixes of what is
 left are sorted by difference cover: triples at two of three places are sorted and named, the names' own suffixes are
-sorted in the same way, the remaining third is merged in, and each suffix's prefix is compared with its neighbours'. The
-ends of repeats, which lie inside phrases, are then settled byte by byte.
+sorted in the same way, the remaining third is merged in, and each suffix's prefix is compared with its neighbours'. What
+isn't a neighbour's as a whole, the ends of repeats above all, is then settled window by window, by hash: the suffix order
+spares most windows inside repeats, but what it doesn't spare the hashes decide.
 
 Phrases lie packed in as many groups of documents as there are shuffle partitions. In every step a group asks the owners
 of ranges about its distinct triples, ranks or keys, and gets packed answers back in its own order: what occurs in a third
@@ -27,7 +28,7 @@ from .shared_keys import share_of
 #: Bytes of an anchor, mean bytes between anchors, and bytes of a repeat before its first anchor that a phrase covers.
 GRAM, EVERY = 12, 40
 #: Anchors that a mapper gathers before it sorts them and sends them on.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 #: A packed row: the partition it goes to, who sends it or of what kind it is, and its columns.
 _WIRE = "target int, sender int, data array<binary>"
 #: Kinds of phrases and lone windows on their way; and as known to be repeated.
@@ -427,7 +428,8 @@ def _phrases(docs: DataFrame, length: int) -> DataFrame:
     """By group: names and breaks of its shared phrases in a row, and the phrases' doc, start, anchor, key, prefix and place.
 
     Fields: 0 names, 1 doc, 2 start, 3 anchor, 4 key, 5 prefix (0: its 400 bytes don't fit), 6 place among the names,
-    7 and 8 doc and start of repeated lone windows, 9 the most names that a prefix spans, and the number of phrases.
+    7 and 8 doc and start of repeated lone windows, 9 the most names that a prefix spans, and the number of phrases, 10 the
+    hashes of the lone windows.
     """
     parts, around = partitions(docs.sparkSession), length * 9 // 25
 
@@ -467,7 +469,7 @@ def _phrases(docs: DataFrame, length: int) -> DataFrame:
                 names[place] = own + 1
                 group = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])[: len(doc)] << 32
                 spanned = np.searchsorted(group + start, group + anchor + length) - np.arange(len(doc))
-                yield target, -1, [names, doc, start, anchor, key, prefix, place, lone[1], lone[2], np.array([2 * spanned.max(initial=0) + 2, len(doc)])]
+                yield target, -1, [names, doc, start, anchor, key, prefix, place, lone[1], lone[2], np.array([2 * spanned.max(initial=0) + 2, len(doc)]), lone[0]]
 
         yield from _wired(rows())
 
@@ -584,11 +586,12 @@ def _texts(found: list[tuple[int, list[bytes]]]) -> Iterator[tuple[np.ndarray, n
 
 
 def _of_block(doc: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``owners`` lie in a block of documents, and their documents' numbers in it."""
+    """Which of ``owners`` lie in a block of documents, and their documents' numbers in it; a pair for each row of an id."""
     order = np.argsort(doc, kind="stable")
-    at = np.minimum(np.searchsorted(doc[order], owners), len(doc) - 1)
-    inside = np.flatnonzero(doc[order][at] == owners)
-    return inside, order[at[inside]]
+    low, high = np.searchsorted(doc[order], owners), np.searchsorted(doc[order], owners, "right")
+    n = high - low
+    inside = np.repeat(np.arange(len(owners)), n)
+    return inside, order[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 def _windows(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
@@ -608,6 +611,9 @@ def _windows(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                 start = np.repeat(phrase[1][inside] - np.cumsum(n) + n, n) + np.arange(n.sum()) + offsets[owner]
                 fits = start + length <= offsets[owner + 1]
                 owner, start = owner[fits], start[fits]
+                if len(np.unique(doc)) < len(doc):  # rows of one id are asked about each other's phrases too
+                    once = np.unique(start, return_index=True)[1]
+                    owner, start = owner[once], start[once]
                 held[_LONE].append([span_hash(prefix_hash(data), start, start + length), doc[owner], start - offsets[owner]])
                 size += len(start)
                 if size >= BLOCK:
@@ -622,9 +628,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
     """Every text without the bytes of any ``length``-byte string that also starts elsewhere, in it or in another text.
 
     Columns: the id, n_bytes, n_removed, n_spans (maximal removed runs), spans (array of start, end in bytes), kept
-    (binary, the bytes that stay). Repeats may overlap, don't cross texts, and are judged on the input. A null text is
-    empty; texts shorter than ``length`` stay whole; an empty table gives an empty result; rows with a null id are left
-    out; ids are taken to be distinct, further columns aren't read. Places are counted in UTF-8 bytes.
+    (binary, the bytes that stay), longest_shared: the longest stretch, in bytes, of strings of nine twenty-fifths of
+    ``length`` at anchors that occur elsewhere too, so that repeats which are too short to go show there. Repeats may
+    overlap, don't cross texts, and are judged on the input. A null text is empty; texts shorter than ``length`` stay
+    whole; an empty table gives an empty result; rows with a null id are left out; rows that share an id are texts of
+    their own, each with a result; further columns aren't read. Places are counted in UTF-8 bytes.
     """
     parts = partitions(docs.sparkSession)
     docs = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -635,30 +643,56 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
 
     def spans(target: int, held: Arrays) -> Arrays:
         twice = held[5] != 0
-        return [held[0][twice], held[1][twice], held[2][twice] + length]
+        return [held[0][twice], held[1][twice], held[2][twice] + length, held[4][twice]]
 
-    lone = _each(_only(found, 7, 8), lambda target, held: [*held, held[1] + length])
+    lone = _each(_only(found, 7, 8, 10), lambda target, held: [held[0], held[1], held[1] + length, held[2]])
     settled = windows.select("target", F.lit(-2).alias("sender"), "data")
-    result = "doc long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary"
+    shared = _only(found, 1, 3).withColumn("sender", F.lit(-3))
+    around = length * 9 // 25
+    result = "doc long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary, longest_shared long"
+
+    def runs(covered: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8))).reshape(-1, 2)
+
+    def covered(doc: np.ndarray, offsets: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.ndarray, fits=None) -> np.ndarray:
+        """Bytes of a block that lie in the spans of its documents."""
+        inside, at = _of_block(doc, owner)
+        if fits is not None:
+            right = fits(inside, at)
+            inside, at = inside[right], at[right]
+        size = np.diff(offsets)[at]
+        depth = np.zeros(offsets[-1] + 1, np.int64)
+        np.add.at(depth, offsets[at] + np.minimum(start[inside], size), 1)
+        np.add.at(depth, offsets[at] + np.minimum(end[inside], size), -1)
+        return np.cumsum(depth[:-1]) > 0
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _read(batches):
-            ready = _joined([data for sender, data in rows if sender == -1], 3)
+            ready = _joined([data for sender, data in rows if sender == -1], 4)
             single = _joined([data for sender, data in rows if sender == -2], 3)
-            owner, start, end = (np.concatenate(c) for c in zip(ready, (single[1], single[2], single[2] + length), strict=True))
+            owner, start, end, key = (np.concatenate(c) for c in zip(ready, (single[1], single[2], single[2] + length, single[0]), strict=True))
+            near = _joined([data for sender, data in rows if sender == -3], 2)
             for doc, offsets, data in _texts(rows):
-                inside, at = _of_block(doc, owner)
-                depth = np.zeros(len(data) + 1, np.int64)
-                np.add.at(depth, offsets[at] + start[inside], 1)
-                np.add.at(depth, offsets[at] + end[inside], -1)
-                gone = np.cumsum(depth[:-1]) > 0
+                fits = None
+                if len(np.unique(doc)) < len(doc):  # of the rows of one id those that hold the string at the place
+                    running = prefix_hash(data)
+
+                    def fits(inside: np.ndarray, at: np.ndarray, offsets=offsets, running=running) -> np.ndarray:
+                        a, b = offsets[at] + start[inside], offsets[at] + end[inside]
+                        whole = b <= offsets[at + 1]
+                        found = span_hash(running, np.where(whole, a, 0), np.where(whole, b, 0))
+                        return whole & ((found ^ key[inside].view(np.uint64)) >> np.uint64(1) == 0)
+
+                gone = covered(doc, offsets, owner, start, end, fits)
+                also = covered(doc, offsets, near[0], near[1], near[1] + around)
                 out = []
                 for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                     mine = gone[a:b]
-                    runs = np.flatnonzero(np.diff(np.r_[False, mine, False].astype(np.int8))).reshape(-1, 2).tolist()
-                    out.append((int(doc[i]), int(b - a), int(mine.sum()), len(runs), [{"start": x, "end": y} for x, y in runs], data[a:b][~mine].tobytes()))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
-
-    covered = _each(judged, spans).union(lone).union(settled)
-    return covered.union(_bodies(docs)).repartitionById(parts, F.col("target")).mapInArrow(keep, result).withColumnRenamed("doc", id_column)
+                    cut_out = runs(mine)
+                    longest = int(np.diff(runs(also[a:b])).max(initial=0))
+                    out.append((int(doc[i]), int(b - a), int(mine.sum()), len(cut_out), [{"start": x, "end": y} for x, y in cut_out.tolist()], data[a:b][~mine].tobytes(), longest))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc", "n_bytes", "n_removed", "n_spans", "spans", "kept", "longest_shared"])
+
+    known = _each(judged, spans).union(lone).union(settled).union(shared)
+    return known.union(_bodies(docs)).repartitionById(parts, F.col("target")).mapInArrow(keep, result).withColumnRenamed("doc", id_column)
