@@ -9,10 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, looked_up
 
-#: Letters of the longest word that a name may be split into.
-LONGEST = 20
 #: Tokens of the classifier up to which their weights are broadcast; beyond it they are joined.
 BROADCAST = 200_000
 _ASCII = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -43,23 +41,30 @@ def page_words(html: Column) -> Column:
 
 
 def unigrams(words: DataFrame) -> DataFrame:
-    """word, log_p of every word of up to ``LONGEST`` letters in the column ``word``."""
-    counts = cut(words.where(F.length("word").between(1, LONGEST)).groupBy("word").agg(F.count("*").alias("n")))
+    """word, log_p of every word in the column ``word``."""
+    counts = cut(words.where(F.length("word") > 0).groupBy("word").agg(F.count("*").alias("n")))
     total = float(np.log(max(1, counts.agg(F.sum("n").alias("n")).first()["n"] or 0)))
     return counts.select("word", (F.log("n") - total).alias("log_p"), F.lit(total).alias("log_total"))
 
 
 def best_split(name: str, found: dict[tuple[int, int], float], log_total: float) -> list[str]:
-    """The most likely split of a name: Viterbi over words (start, length); unknown stretches cost tenfold a letter."""
+    """The most likely split of a name: Viterbi over words (start, length); unknown stretches cost tenfold a letter.
+
+    An unknown stretch, of any length, costs once in all and by its letters, so that the best start is known as one goes.
+    """
     n = len(name)
+    starts: dict[int, list[tuple[int, float]]] = {}
+    for (start, size), p in found.items():
+        starts.setdefault(start + size, []).append((size, p))
     best, length = np.full(n + 1, -np.inf), [0] * (n + 1)
     best[0] = 0.0
+    reach = (-np.inf, 0)  # best score before an unknown stretch, the cost of the letters before it added, and its start
     for end in range(1, n + 1):
-        for size in range(1, min(LONGEST, end) + 1):
-            p = found.get((end - size, size))
-            score = best[end - size] + (p if p is not None else -log_total - 2.302585 * size)
-            if score > best[end]:
-                best[end], length[end] = score, size
+        reach = max(reach, (best[end - 1] + 2.302585 * (end - 1), end - 1))
+        best[end], length[end] = reach[0] - log_total - 2.302585 * end, end - reach[1]
+        for size, p in sorted(starts.get(end, ())):
+            if best[end - size] + p > best[end]:
+                best[end], length[end] = best[end - size] + p, size
     out, end = [], n
     while end:
         out.append(name[end - length[end] : end])
@@ -70,20 +75,22 @@ def best_split(name: str, found: dict[tuple[int, int], float], log_total: float)
 def segmented(names: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """name, parts (array) for every distinct value of ``name``.
 
-    The names' substrings are joined with the vocabulary, so that neither has to fit anywhere as a whole; a name's
-    matches are at most ``LONGEST`` for each of its letters.
+    The names' substrings, up to the length of the longest word, are joined with the vocabulary, so that neither has to
+    fit anywhere as a whole. Each distinct substring is looked up once, and its word's name is joined back by shares.
     """
     distinct = names.select("name").distinct()
-    stretches = distinct.select("name", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("name")), lambda i: F.col("name").substr(i, F.lit(LONGEST)))).alias("start", "tail"))
+    longest, total = vocabulary.agg(F.max(F.length("word")), F.max("log_total")).first()
+    longest, total = longest or 1, total or 0.0
+    stretches = distinct.select("name", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("name")), lambda i: F.col("name").substr(i, F.lit(longest)))).alias("start", "tail"))
     pieces = stretches.select("name", "start", F.explode(F.transform(F.sequence(F.lit(1), F.length("tail")), lambda n: F.col("tail").substr(F.lit(1), n))).alias("word"))
-    found = pieces.join(vocabulary, "word").groupBy("name").agg(F.collect_list(F.struct("start", F.length("word").alias("size"), "log_p")).alias("found"), F.max("log_total").alias("log_total"))
+    found = looked_up(pieces, vocabulary, ["word"], "name").groupBy("name").agg(F.collect_list(F.struct("start", F.length("word").alias("size"), "log_p")).alias("found"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            parts = [best_split(name, {(f["start"], f["size"]): f["log_p"] for f in found} if found is not None else {}, total) for name, found, total in frame.itertuples(index=False)]
+            parts = [best_split(name, {(f["start"], f["size"]): f["log_p"] for f in found} if found is not None else {}, total) for name, found in frame.itertuples(index=False)]
             yield pd.DataFrame({"name": frame["name"], "parts": parts})
 
-    return distinct.join(found, "name", "left").select("name", "found", F.coalesce("log_total", F.lit(0.0)).alias("log_total")).mapInPandas(run, "name string, parts array<string>")
+    return distinct.join(found, "name", "left").select("name", "found").mapInPandas(run, "name string, parts array<string>")
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], smoothing: float = 1.0, id_column: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -104,7 +111,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], smoothing: float
     named = parts.select("host", "path", "pages", "kind", "of.side", F.explode(F.regexp_extract_all(F.lower("of.text"), F.lit(r"\p{L}+|[0-9]+"), 0)).alias("name"))
     letters = F.col("name").rlike(r"^\p{L}")
     split = segmented(named.where(letters), unigrams(pages.select(F.explode(page_words(F.col(html))).alias("word"))))
-    known = named.join(split, "name", "left").select("host", "path", "pages", "kind", F.explode(F.coalesce("parts", F.array(F.lit("0")))).alias("part"), "side")
+    known = looked_up(named, split, ["name"], ("host", "path"), "left").select("host", "path", "pages", "kind", F.explode(F.coalesce("parts", F.array(F.lit("0")))).alias("part"), "side")
     tokens = cut(known.select("host", "path", "pages", "kind", F.concat("side", "part").alias("token")))
 
     by_token = tokens.where("kind is not null").groupBy("token").agg(*(F.sum(F.when(F.col("kind") == k, F.col("pages")).otherwise(0)).alias(k) for k in ("allow", "block")))
@@ -122,4 +129,4 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], smoothing: float
         "host", "path", "rule", "kind", F.when(F.col("kind").isNull(), F.lit(start) + F.coalesce("odds", F.lit(0.0)) if can else F.lit(0.0)).alias("log_odds")
     )
     verdict = F.coalesce("kind", F.when(F.round("log_odds", 9) > 0, "block").otherwise("allow"))
-    return rows.join(judged.select("host", "path", "rule", verdict.alias("verdict"), "log_odds"), ["host", "path"]).select(id_column, "host", "path", "rule", "verdict", "log_odds")
+    return looked_up(rows, judged.select("host", "path", "rule", verdict.alias("verdict"), "log_odds"), ["host", "path"], id_column).select(id_column, "host", "path", "rule", "verdict", "log_odds")
