@@ -82,10 +82,12 @@ class LanguageModel:
         full, _ = fit(np.ones((len(texts), k)))
         rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
         chosen, score = None, np.full(len(texts), -np.inf)
-        for size in range(1, min(k, 3) + 1):
+        for size in range(1, k + 1):
             shares, fitted = fit((rank < size).astype(float))
             fitted -= penalty * size * np.log(sizes + 1.0)
             better = fitted > score
+            if not better.any():  # a larger set would have to make up for more than one more penalty
+                break
             chosen = shares if chosen is None else np.where(better[:, None], shares, chosen)
             score = np.maximum(score, fitted)
         best[texts], share[texts] = chosen.argmax(axis=1), chosen.max(axis=1)
