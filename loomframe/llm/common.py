@@ -172,8 +172,8 @@ def looked_up(rows: DataFrame, table: DataFrame, key: list[str], by: str | tuple
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """Components of ``links`` (a, b: long): rows (node, component), component being the smallest node reached.
 
-    Every round points each node to the smallest label among its neighbours' and then to that label's own label, so
-    the rounds grow with the logarithm of a chain's length. Nothing but the count of changes reaches the driver.
+    Every round points each node to the smallest label among its neighbours', each label's own node to the smallest that
+    its members have seen, and then each node to its label's own label, so that labels reach twice as far each time. Nothing but the count of changes reaches the driver.
     A node that is linked with nothing has no row.
     """
     both = cut(links.select("a", "b").where("a <> b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
@@ -182,10 +182,11 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         # what is used more than once is cut, or the plan would hold it many times
         near = looked_up(both, labels.withColumnRenamed("node", "b"), ["b"], "a").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         hooked = cut(labels.join(near.hint("merge"), "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new")))
-        # a root takes the smallest label that any of its members has seen
-        moved = cut(looked_up(hooked, hooked.groupBy("old").agg(F.min("new").alias("low")), ["old"], "node").select("node", "old", F.least("new", "low").alias("new")))
-        jump = moved.select(F.col("node").alias("new"), F.col("new").alias("far"))
-        moved = cut(looked_up(moved, jump, ["new"], "node", "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
+        # a root takes the smallest label that any of its members has seen, and they get it from there
+        seen = hooked.groupBy(F.col("old").alias("node")).agg(F.min("new").alias("low"))
+        hooked = cut(hooked.join(seen.hint("merge"), "node", "left").select("node", "old", F.least("new", F.coalesce("low", "new")).alias("new")))
+        jump = hooked.select(F.col("node").alias("new"), F.col("new").alias("far"))
+        moved = cut(looked_up(hooked, jump, ["new"], "node", "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
         labels = moved.select("node", F.col("new").alias("component"))
         if moved.where("old <> new").limit(1).count() == 0:
             return labels
