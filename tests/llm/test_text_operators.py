@@ -169,14 +169,86 @@ def test_scores_without_rows(docs, none):
 
 
 def test_seats_follow_the_process():
-    rng = np.random.default_rng(0)
-    tables = pitman_yor.seat(np.full(4000, 200), np.full(4000, 0.5), 0.3, rng)
+    keys = common.mix(np.arange(1, 4001, dtype=np.uint64))
+    tables = pitman_yor.seat(np.full(4000, 200), lambda at, now: np.full(len(at), 0.5) + 0.3 * now, 0.3, keys, 0)
     mean, expected = tables.mean(), 1.0
     for seated in range(1, 200):  # the mean-field recursion is near the mean
-        expected += 0.5 / (0.5 + seated - 0.3 * expected)
+        expected += (0.5 + 0.3 * expected) / (0.5 + seated)
     assert mean == pytest.approx(expected, rel=0.1)
 
 
+def plain_scores(texts, train, samples=2, burn_in=1, strength=1.0):
+    """The same sampler one dish at a time, with dictionaries."""
+    tokens = {}
+    for key, text in texts:
+        data = (text or "").encode()
+        w, k, _ = pitman_yor.tokens_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        tokens[key] = list(zip(w.tolist(), k.tolist(), strict=True))
+    c = Counter(t for key, ts in tokens.items() if key in train for t in ts)
+    words_of = sorted({w for w, _ in c})
+    size, uniform = len(words_of), 1.0 / (len(words_of) + 1)
+    kinds = Counter(w for w, _ in c)
+    d = [float(np.clip(a / max(1, a + 2 * b), 0.05, 0.95)) for a, b in ((sum(n == 1 for n in x.values()), sum(n == 2 for n in x.values())) for x in (c, kinds))]
+    tables, above = {t: 1 for t in c}, {w: 1 for w in words_of}
+    key_of = {(w, k): common.mix(np.array([w], np.uint64)) + common.mix(np.array([k + 1], np.uint64)) for w, k in c}
+    customers_of = Counter()
+    for (_, k), n in c.items():
+        customers_of[k] += n
+
+    def seat_one(n, weight, discount, key, sweep):
+        t, seated = 1, 1
+        while n > seated:
+            group = min(max(1, seated // 16), n - seated)
+            new = weight(t)
+            t += int(group * new / (new + seated + (group - 1) / 2 - discount * t) + pitman_yor.chance(key, sweep, seated)[0])
+            seated += max(1, seated // 16)
+        return t
+
+    p = defaultdict(float)
+    for sweep in range(burn_in + samples):
+        of_context, guests = Counter(), Counter()
+        for (w, k), t in tables.items():
+            of_context[k] += t
+            guests[w] += t
+        total, all_above = sum(guests.values()), sum(above.values())
+        after = {}
+        for (w, k), n in c.items():
+            own = tables[w, k]
+            there = guests[w] - own
+            base = max(there - d[1] * min(above[w], there), 0) + (strength + d[1] * all_above) * uniform
+            after[w, k] = seat_one(n, lambda t, own=own, base=base, k=k: (strength + d[0] * (of_context[k] - own + t)) * (base + t) / (strength + total - own + t), d[0], key_of[w, k], sweep)
+        new_guests = Counter()
+        # parts of the vocabulary know the end's guests of the last sweep only
+        for (w, _), t in after.items():
+            new_guests[w] += t
+        new_guests[int(pitman_yor.END)] = guests[int(pitman_yor.END)]
+        above = {w: seat_one(new_guests[w], lambda t, w=w: (strength + d[1] * (all_above - above[w] + t)) * uniform, d[1], common.mix(np.array([w], np.uint64)), sweep) for w in words_of}
+        tables = after
+        if sweep >= burn_in:
+            of_context, guests = Counter(), Counter()
+            for (w, k), t in tables.items():
+                of_context[k] += t
+                guests[w] += t
+            total, all_above = sum(guests.values()), sum(above.values())
+            for t in {t for ts in tokens.values() for t in ts}:
+                w, k = t
+                parent = (guests[w] - d[1] * above.get(w, 0) + (strength + d[1] * all_above) * uniform) / (strength + total)
+                p[t] += (c[t] - d[0] * tables.get(t, 0) + (strength + d[0] * of_context[k]) * parent) / (strength + customers_of[k]) / samples
+    return {key: sum(math.log10(p[t]) for t in ts) for key, ts in tokens.items()}
+
+
+def test_scores_match_a_plain_sampler(spark):
+    rng = np.random.default_rng(2)
+    texts = [(i, " ".join(rng.choice(list("abcdefgh"), rng.integers(0, 60), p=[0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.05]))) for i in range(40)] + [(40, "a b new words"), (41, None)]
+    expected = plain_scores(texts, set(range(30)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    for n in (1, 5):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found = as_dict(pitman_yor.score_texts(frame.repartition(n), F.col("doc_id") < 30))
+        assert {k: r["score"] for k, r in found.items()} == pytest.approx(expected, rel=1e-9)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
 def test_held_out_texts_are_likelier_than_under_single_words(spark):
     found = queries.op4_pitman_yor(spark, SMALL).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert found[0] > found[1]
