@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,13 +138,15 @@ def unsqueeze(data: bytes, kind: type) -> np.ndarray:
     return unpack(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
-def shared_folder(spark: SparkSession) -> None:
-    """Set a checkpoint folder only where the cluster has named none, as in tests, whose driver and executors are one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; one is set only where none is named, as in tests, whose driver and executors are one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("checkpoints need a shared folder: set spark.checkpoint.dir")
+    named = named or "spark-warehouse/checkpoints"
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        if not named and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("checkpoints need a shared folder: set spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(named or "spark-warehouse/checkpoints")
+        spark.sparkContext.setCheckpointDir(named)
+    return named
 
 
 def cut(frame: DataFrame) -> DataFrame:
@@ -152,6 +155,17 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(True)
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """``frame`` as a table in the shared folder.
+
+    Unlike a checkpoint it carries nothing of its plan along, whose constraints grow from round to round of a loop until
+    they fill the driver's memory.
+    """
+    path = f"{shared_folder(frame.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -176,17 +190,17 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     its members have seen, and then each node to its label's own label, so that labels reach twice as far each time. Nothing but the count of changes reaches the driver.
     A node that is linked with nothing has no row.
     """
-    both = cut(links.select("a", "b").where("a <> b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
+    both = written(links.select("a", "b").where("a <> b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
     for _ in range(rounds):
-        # what is used more than once is cut, or the plan would hold it many times
+        # what is used more than once is written, or the plan would hold it many times
         near = looked_up(both, labels.withColumnRenamed("node", "b"), ["b"], "a").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        hooked = cut(labels.join(near.hint("merge"), "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new")))
+        hooked = written(labels.join(near.hint("merge"), "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new")))
         # a root takes the smallest label that any of its members has seen, and they get it from there
         seen = hooked.groupBy(F.col("old").alias("node")).agg(F.min("new").alias("low"))
-        hooked = cut(hooked.join(seen.hint("merge"), "node", "left").select("node", "old", F.least("new", F.coalesce("low", "new")).alias("new")))
+        hooked = written(hooked.join(seen.hint("merge"), "node", "left").select("node", "old", F.least("new", F.coalesce("low", "new")).alias("new")))
         jump = hooked.select(F.col("node").alias("new"), F.col("new").alias("far"))
-        moved = cut(looked_up(hooked, jump, ["new"], "node", "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
+        moved = written(looked_up(hooked, jump, ["new"], "node", "left").select("node", "old", F.least("new", F.coalesce("far", "new")).alias("new")))
         labels = moved.select("node", F.col("new").alias("component"))
         if moved.where("old <> new").limit(1).count() == 0:
             return labels
