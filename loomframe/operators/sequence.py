@@ -160,7 +160,7 @@ def semantic_frames(events: DataFrame, seeds: int = 4, margin: int = 4) -> DataF
     """episode, frame, purpose, roles of what is shown of each episode; the first purpose of a frame counts.
 
     Seeds are spread before closing. A pick and place has two frames after the grasp and one of placing; a target that is
-    only held (close_end given, open_start null) two after the grasp. frames: the episode's number of frames.
+    only held (open_start null) two after the grasp. frames: the episode's number of frames.
     """
     c = F.col
     loop = c("open_start").isNotNull()
@@ -172,7 +172,7 @@ def semantic_frames(events: DataFrame, seeds: int = 4, margin: int = 4) -> DataF
 
     spread = uniform_sample(F.lit(0), F.greatest(F.lit(0), c("close_start") - margin), seeds)
     seed = F.transform(spread, lambda f: shown(f, 0, "pre_grasp_seed_candidate", F.when(loop, both).otherwise(target)))
-    done = F.coalesce("close_done", "close_end")
+    done = c("close_done")
     held = F.least(done + 1, last)
     context = F.when(loop, F.array(
         shown(F.least(done + 1, c("open_start") - 1), 1, "post_grasp_context", target), shown(F.floor((done + c("open_start")) / 2), 2, "post_grasp_context", target),

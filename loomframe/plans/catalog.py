@@ -641,7 +641,7 @@ shown AS (SELECT episode, least(greatest(frame, 0), n - 1)::INT AS frame, arg_mi
 def _shown(spark: SparkSession, d: str) -> DataFrame:
     s = src.signals(spark, d)
     e = sequence.loop_events(s, closed_at=0.3).where("outcome in ('loop', 'no_open')").join(s.groupBy("episode").agg(F.count("*").alias("frames")), "episode")
-    return sequence.semantic_frames(e.withColumn("close_end", c("close_done")))
+    return sequence.semantic_frames(e)
 
 
 @query(f"{_SHOWN} SELECT * FROM shown")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import responses, text
-from ..operators import masks, quality, review, sequence, timeline
+from ..operators import bitmaps, masks, quality, review, sequence, timeline
 from ..sources import adapters as src
 from ..sources import episodes
 from .catalog import _masks, _runs, query
@@ -412,3 +412,58 @@ def run_stamps(spark, d):
 def record_projection(spark, d):
     o = src.table(spark, d, "orders").select(c("o_orderkey").alias("episode"), c("o_orderstatus").alias("status"), F.when(c("o_orderkey") % 3 == 0, "x").alias("error"))
     return o.select("episode", F.to_json(F.struct("episode", "status", "error")).alias("record"))
+
+
+# --- masks of any size: rows of two words, four rows
+
+_BITS = """bm AS (SELECT label AS episode, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame, embedding AS e FROM embeddings),
+    wd AS (SELECT *, unnest(range(8)) AS w FROM bm), px AS (SELECT episode, frame, w, unnest(range(64)) AS i, e FROM wd),
+    wh AS (SELECT episode, frame, (w % 2) * 64 + i AS x, w // 2 AS y FROM px WHERE e[(i * (w + 1) % 64) + 1] > 0.25::FLOAT AND (frame + w) % 5 <> 0 AND frame % 9 <> 4)"""
+
+
+def _wide(spark, d):
+    """Masks of 4 rows of 128 pixels, from vectors: pixel i of word w is set by entry i * (w + 1) mod 64."""
+    bit = lambda w: F.aggregate(
+        F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("bigint"),
+        lambda m, i: m.bitwiseOR(F.when(F.get("embedding", i * (w + 1) % 64) > F.lit(0.25).cast("float"), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))),
+    )
+    order = sequence.Window.partitionBy("label").orderBy("vec_id")
+    e = src.table(spark, d, "embeddings").select(c("label").alias("episode"), (F.row_number().over(order) - 1).alias("frame"), "embedding")
+    words = F.array(*(F.when(((c("frame") + w) % 5 != 0) & (c("frame") % 9 != 4), bit(w)).otherwise(F.lit(0).cast("bigint")) for w in range(8)))
+    return e.select("episode", "frame", words.alias("mask"))
+
+
+@query(f"""WITH {_BITS}, g AS (SELECT episode, frame, count(*) AS area, avg(x) AS cx, avg(y) AS cy, min(x)::INT AS x0, min(y)::INT AS y0, max(x)::INT AS x1, max(y)::INT AS y1 FROM wh GROUP BY 1, 2),
+j AS (SELECT a.episode, a.frame + 1 AS frame, count(*) AS common FROM wh a JOIN wh b ON a.episode = b.episode AND b.frame = a.frame + 1 AND a.x = b.x AND a.y = b.y GROUP BY 1, 2)
+SELECT bm.episode, bm.frame, coalesce(g.area, 0) AS area, round(g.cx, 6) AS cx, round(g.cy, 6) AS cy, g.x0, g.y0, g.x1, g.y1, round(CASE WHEN g.area > 0 AND p.area > 0 THEN coalesce(common, 0) / (g.area + p.area - coalesce(common, 0)) END::DOUBLE, 6) AS iou,
+round(CASE WHEN g.area > 0 AND p.area > 0 THEN sqrt((g.cx - p.cx) ** 2 + (g.cy - p.cy) ** 2) END, 6) AS jump FROM bm LEFT JOIN g ON g.episode = bm.episode AND g.frame = bm.frame LEFT JOIN g p ON p.episode = bm.episode AND p.frame = bm.frame - 1 LEFT JOIN j ON j.episode = bm.episode AND j.frame = bm.frame""")
+def bitmap_measures(spark, d):
+    m = bitmaps.measured(_wide(spark, d), 2).withColumn("b", bitmaps.box(c("mask"), 2))
+    return m.select("episode", "frame", "area", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"), "b.x0", "b.y0", "b.x1", "b.y1", F.round("iou", 6).alias("iou"), F.round("jump", 6).alias("jump"))
+
+
+@query(f"""WITH {_BITS}, g AS (SELECT episode, frame, count(*) AS area, avg(x) AS cx, avg(y) AS cy FROM wh GROUP BY 1, 2), a AS (SELECT bm.episode, bm.frame, coalesce(area, 0) AS area, cx, cy FROM bm LEFT JOIN g ON g.episode = bm.episode AND g.frame = bm.frame),
+r AS (SELECT episode, cx AS rx, cy AS ry FROM a WHERE frame = 3 AND episode % 2 = 0), k AS (SELECT a.*, rx, ry, lag(area) OVER w AS pa, lag(cx) OVER w AS px, lag(cy) OVER w AS py, lag(a.frame) OVER w AS pf FROM a LEFT JOIN r USING (episode) WHERE frame BETWEEN 2 AND 20 + a.episode % 10 WINDOW w AS (PARTITION BY a.episode ORDER BY frame)),
+o AS (SELECT a.episode, a.frame + 1 AS frame, count(*) AS common FROM wh a JOIN wh b ON a.episode = b.episode AND b.frame = a.frame + 1 AND a.x = b.x AND a.y = b.y GROUP BY 1, 2),
+x AS (SELECT k.*, min(CASE WHEN area > 0 THEN k.frame END) OVER (PARTITION BY k.episode) AS lo, max(CASE WHEN area > 0 THEN k.frame END) OVER (PARTITION BY k.episode) AS hi, CASE WHEN area > 0 AND pa > 0 THEN coalesce(common, 0) / (area + pa - coalesce(common, 0)) END::DOUBLE AS iou, CASE WHEN area > 0 AND pa > 0 THEN sqrt((cx - px) ** 2 + (cy - py) ** 2) END AS jump, CASE WHEN area > 0 AND pa > 0 THEN abs(area - pa) / pa END::DOUBLE AS ratio, sqrt((cx - rx) ** 2 + (cy - ry) ** 2) AS far FROM k LEFT JOIN o ON o.episode = k.episode AND o.frame = k.frame),
+m AS (SELECT episode, count(*) AS window_frames, count(CASE WHEN area > 0 THEN 1 END) AS nonempty_frames, count(CASE WHEN (area > 0) <> (pa > 0) THEN 1 END) AS presence_transitions, count(CASE WHEN area = 0 AND frame BETWEEN lo AND hi THEN 1 END) AS internal_missing_frames, quantile_cont(iou, 0.05) AS i5, quantile_cont(jump, 0.95) AS j95, quantile_cont(ratio, 0.95) AS r95, max(far) AS mr FROM x GROUP BY 1),
+s AS (SELECT *, concat_ws(',', CASE WHEN i5 < 0.5 THEN 'low_adjacent_iou_p05' END, CASE WHEN j95 > 5 THEN 'large_centroid_jump_p95' END, CASE WHEN r95 > 0.4 THEN 'large_area_ratio_jump_p95' END) AS strong FROM m)
+SELECT episode, window_frames, nonempty_frames, presence_transitions, internal_missing_frames, round(i5, 6) AS iou_p05, round(j95, 6) AS jump_p95, round(r95, 6) AS ratio_p95, round(mr, 6) AS max_reference_distance,
+concat_ws(',', nullif(strong, ''), CASE WHEN nonempty_frames < window_frames THEN 'incomplete_window_coverage' END, CASE WHEN internal_missing_frames > 0 THEN 'internal_missing_frames' END) AS issues,
+CASE WHEN contains(strong, ',') THEN 'quarantine' WHEN strong <> '' OR nonempty_frames < window_frames OR internal_missing_frames > 0 THEN 'review' ELSE 'pass' END AS status FROM s""")
+def temporal_qc_window(spark, d):
+    m = _wide(spark, d)
+    reference = m.where("frame = 3 and episode % 2 = 0").select("episode", c("mask").alias("reference"))
+    q = bitmaps.temporal_qc(m.join(reference, "episode", "left").withColumns({"start": F.lit(2), "end": 20 + c("episode") % 10}), 2)
+    return q.select("episode", "window_frames", "nonempty_frames", "presence_transitions", "internal_missing_frames", *(F.round(n, 6).alias(n) for n in ("iou_p05", "jump_p95", "ratio_p95", "max_reference_distance")), "issues", "status")
+
+
+_DRIVE = "SELECT l_orderkey AS id, l_linenumber AS n, round(greatest(0.0::DOUBLE, least(0.04::DOUBLE, l_discount * 0.5 - 0.001)), 9) AS position, 1 + floor((l_quantity % 7) / 2 + 1e-9)::INT + CASE WHEN abs(floor((l_quantity % 7) / 2 + 1e-9) * 2 - l_quantity % 7) < 1e-9 THEN 0 ELSE 1 END AS steps FROM lineitem"
+
+
+@query(_DRIVE)
+def joint_positions(spark, d):
+    from ..functions import geometry
+
+    top = c("l_quantity") % 7
+    return src.table(spark, d, "lineitem").select(c("l_orderkey").alias("id"), c("l_linenumber").alias("n"), F.round(geometry.joint_position(c("l_discount"), 0.0, 0.04, 0.5, -0.001), 9).alias("position"), F.size(geometry.grid(F.lit(0.0), top, 2.0)).alias("steps"))
