@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chain_dedup import repeated_passages
 from .decontaminate import find_items
 from .filter_audit import audit_filters
+from .hamming_join import near_duplicates
 from .language_id import held_out, identify_languages, train_languages
 from .license_scan import find_notices
 from .piece_codec import encode_pieces
@@ -99,30 +100,41 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are similar to 0.8 or more, and the documents that stay."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters do to the documents of each language in all 120 orders."""
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_syncmers, op3_url_filter, op4_pitman_yor, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate, op11_prefix_trie, op13_filter_audit)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_syncmers, op3_url_filter, op4_pitman_yor, op5_piece_codec, op6_language_id, op7_chain_dedup, op8_license_scan, op9_trie_join, op10_decontaminate, op11_prefix_trie, op12_hamming_join, op13_filter_audit)}
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _grams(table: str, key: str) -> str:
-    """SQL for the distinct 5-word shingles (g) of a table's texts; fewer words make one."""
+def _grams(table: str, key: str, k: int = 5) -> str:
+    """SQL for the distinct k-word shingles (g) of a table's texts; fewer words make one."""
     words = f"regexp_extract_all(translate(text, '{_AZ}', '{_AZ.lower()}'), '[^\\x20\\x09-\\x0D]+')"
     return f"""(WITH w AS (SELECT {key}, {words} AS t FROM {table} WHERE text IS NOT NULL)
-      SELECT DISTINCT {key}, array_to_string(t[i:i + 4], ' ') AS g FROM (SELECT {key}, t, unnest(range(1, len(t) - 3)) AS i FROM w WHERE len(t) >= 5)
-      UNION ALL SELECT {key}, '|' || array_to_string(t, ' ') FROM w WHERE len(t) BETWEEN 1 AND 4)"""
+      SELECT DISTINCT {key}, array_to_string(t[i:i + {k - 1}], ' ') AS g FROM (SELECT {key}, t, unnest(range(1, len(t) - {k - 2})) AS i FROM w WHERE len(t) >= {k})
+      UNION ALL SELECT {key}, '|' || array_to_string(t, ' ') FROM w WHERE len(t) BETWEEN 1 AND {k - 1})"""
 
 
-ORACLES: dict[str, str] = {
-    "op9_trie_join": f"""WITH RECURSIVE g AS MATERIALIZED (SELECT * FROM {_grams("documents", "doc_id")}), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+def _linked(k: int, percent: int) -> str:
+    """SQL for the components of documents whose sets of k-word shingles are similar to ``percent`` hundredths or more."""
+    return f"""WITH RECURSIVE g AS MATERIALIZED (SELECT * FROM {_grams("documents", "doc_id", k)}), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
       c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
-      l AS MATERIALIZED (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+      l AS MATERIALIZED (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= {percent} * (na.n + nb.n - c)),
       r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
-      SELECT doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY 1""",
+      SELECT doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY 1"""
+
+
+ORACLES: dict[str, str] = {
+    "op9_trie_join": _linked(5, 75),
+    "op12_hamming_join": f"SELECT *, doc_id = component_id AS kept FROM ({_linked(4, 80)})",
     "op10_decontaminate": f"""WITH d AS (SELECT * FROM {_grams("documents", "doc_id")}), b AS (SELECT * FROM {_grams("benchmark", "item_id")}), n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1)
       SELECT doc_id, item_id, any_value(n) AS n_shingles, count(*) / any_value(n)::DOUBLE AS containment FROM b JOIN d USING (g) JOIN n USING (item_id) GROUP BY 1, 2 HAVING count(*) >= 0.75 * any_value(n)""",
     "op11_prefix_trie": """WITH RECURSIVE t AS MATERIALIZED (
