@@ -65,6 +65,48 @@ def box(mask: Column, words: int) -> Column:
     return F.when(F.size(on) > 0, F.struct(x0.alias("x0"), F.array_min(rows).alias("y0"), x1.alias("x1"), F.array_max(rows).alias("y1")))
 
 
+def _moved(mask: Column, words: int, by: int, upright: bool) -> Column:
+    """A mask together with its copy moved by ``by`` pixels, right or down (left or up if negative).
+
+    To the side ``by`` is under 64, and bits are carried over to the next word of a row.
+    """
+    zero, n = F.lit(0).cast("bigint"), abs(by)
+    if upright:
+        return F.transform(mask, lambda w, i: w.bitwiseOR(F.coalesce(F.get(mask, i - by * words), zero)))
+    away, back = ("shiftleft", "shiftrightunsigned") if by > 0 else ("shiftrightunsigned", "shiftleft")
+    before = lambda i: F.when(i % words > 0, F.get(mask, i - 1)).otherwise(zero) if by > 0 else F.when(i % words < words - 1, F.get(mask, i + 1)).otherwise(zero)
+    return F.transform(mask, lambda w, i: w.bitwiseOR(F.call_function(away, w, F.lit(n))).bitwiseOR(F.call_function(back, before(i), F.lit(64 - n))))
+
+
+def spread(frames: DataFrame, mask: str, words: int, radius: int, into: str) -> DataFrame:
+    """``frames`` with column ``into``: a mask of whole words to a row grown by a square, words at once.
+
+    A mask grows to each side by itself, so that nothing leaves the frame on its way; what reaches k pixels is moved by up
+    to k + 1 more, so that the number of steps is that of the radius's digits.
+    """
+    found = frames.withColumn(into, c(mask))
+    for upright in (False, True):
+        sides = []
+        for sign in (1, -1):
+            side, reach = f"__{into}{sign}", 0
+            sides.append(side)
+            found = found.withColumn(side, c(into))
+            while reach < radius:
+                by = min(radius - reach, reach + 1, 63)
+                found = found.withColumn(side, _moved(c(side), words, sign * by, upright))
+                reach += by
+        found = found.withColumn(into, either(*map(c, sides))).drop(*sides)
+    return found
+
+
+def outlines(frames: DataFrame, words: int, outline: int, halo: int) -> DataFrame:
+    """``frames`` with outline and halo, bands around every mask and outside of it: up to ``outline`` pixels, and from there up to ``halo``."""
+    if not 0 <= outline <= halo:
+        raise ValueError("a halo is at least as wide as the outline, which isn't negative")
+    both_sizes = spread(spread(frames, "mask", words, outline, "outline"), "mask", words, halo, "halo")
+    return both_sizes.withColumns({"halo": without(c("halo"), c("outline")), "outline": without(c("outline"), c("mask"))})
+
+
 def measured(frames: DataFrame, words: int) -> DataFrame:
     """area, cx, cy, and iou, jump and ratio against the frame before (nulls where one of both is empty)."""
     w = by_frame()

@@ -1,4 +1,4 @@
-"""Grouped NumPy kernels for what Spark has no primitive for: components, morphology, hulls, greedy suppression."""
+"""Grouped NumPy kernels for what Spark has no primitive for: hulls and greedy suppression."""
 
 from __future__ import annotations
 
@@ -19,55 +19,6 @@ def unpacked(mask: int, width: int = MASK_WIDTH) -> np.ndarray:
     return bits.reshape(-1, width).astype(bool)
 
 
-def labels(mask: np.ndarray, eight: bool) -> np.ndarray:
-    """Component number of each pixel (0 outside), numbered by first pixel in row order; minima spread to a fixpoint."""
-    big = mask.size + 1
-    at = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), big)
-    steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if eight else [])
-    while True:
-        new = np.pad(at, 1, constant_values=big)
-        low = at.copy()
-        for dy, dx in steps:
-            for s in (1, -1):
-                low = np.minimum(low, new[1 + s * dy : 1 + s * dy + mask.shape[0], 1 + s * dx : 1 + s * dx + mask.shape[1]])
-        low = np.where(mask, low, big)
-        if (low == at).all():
-            return np.where(mask, np.unique(at, return_inverse=True)[1].reshape(mask.shape) + 1, 0)
-        at = low
-
-
-def component_metrics(frames: DataFrame) -> DataFrame:
-    """components4, components8, largest_fraction (8-connected) and the first largest component of every mask."""
-    fields = T.StructType([*frames.schema.fields, *T.StructType.fromDDL("components4 int, components8 int, largest_fraction double, largest bigint").fields])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            rows = []
-            for mask in frame["mask"]:
-                m = unpacked(mask)
-                four, eight = labels(m, False), labels(m, True)
-                sizes = np.bincount(eight.ravel())[1:]
-                sizes4 = np.bincount(four.ravel())[1:]
-                best = int(np.argmax(sizes4)) + 1 if len(sizes4) else 0
-                kept = np.packbits((four == best).ravel() & m.ravel(), bitorder="little").view(np.int64)[0] if best else 0
-                rows.append((len(sizes4[sizes4 > 0]), len(sizes[sizes > 0]), sizes.max() / sizes.sum() if m.any() else 0.0, kept))
-            out = pd.DataFrame(rows, columns=["components4", "components8", "largest_fraction", "largest"], index=frame.index)
-            yield pd.concat([frame, out], axis=1).astype({"components4": "int32", "components8": "int32"})
-
-    return frames.mapInPandas(run, fields)
-
-
-def dilated(mask: np.ndarray, radius: int, disc: bool = True) -> np.ndarray:
-    """A mask grown by a disc or square."""
-    out = np.zeros_like(mask)
-    h, w = mask.shape
-    for dy in range(-radius, radius + 1):
-        for dx in range(-radius, radius + 1):
-            if not disc or dx * dx + dy * dy <= radius * radius:
-                out[max(0, dy) : h + min(0, dy), max(0, dx) : w + min(0, dx)] |= mask[max(0, -dy) : h + min(0, -dy), max(0, -dx) : w + min(0, -dx)]
-    return out
-
-
 def convex_hull(points: np.ndarray) -> np.ndarray:
     """Corners of the convex hull, counter-clockwise from the leftmost lowest point."""
     p = np.unique(points, axis=0)

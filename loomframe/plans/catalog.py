@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, text
-from ..operators import kernels, manifest, masks, quality, sequence
+from ..operators import kernels, manifest, masks, quality, regions, sequence
 from ..sources import adapters as src
 from ..streaming import run_state
 
@@ -118,10 +118,14 @@ SELECT a.episode, a.frame, coalesce(k.n, 0)::INT AS components4 FROM mx a LEFT J
 
 @query(_COMPONENT_SQL.format(masks=_masks(0.2)))
 def connected_components(spark, d):
-    return kernels.component_metrics(src.mask_frames(spark, d, 0.2)).select("episode", "frame", "components4")
+    m = src.mask_frames(spark, d, 0.2).withColumn("mask", F.array("mask"))
+    return regions.components(m, 8).select("episode", "frame", "components4")
 
 
-@query()
+@query(f"""WITH {_masks(0.2)}, pt AS (SELECT episode, frame, i % 8 AS x, i // 8 AS y FROM (SELECT episode, frame, unnest(range(64)) AS i, unnest(m) AS v FROM mx) WHERE v = 1),
+e AS (SELECT a.episode, a.frame, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS far FROM pt a JOIN pt b ON a.episode = b.episode AND a.frame = b.frame AND (a.x <> b.x OR a.y <> b.y) JOIN pt q ON q.episode = a.episode AND q.frame = a.frame GROUP BY ALL HAVING min((b.x - a.x) * (q.y - a.y) - (b.y - a.y) * (q.x - a.x)) >= 0),
+k AS (SELECT *, max(far) OVER (PARTITION BY episode, frame, ax, ay) AS ma, max(far) OVER (PARTITION BY episode, frame, bx, by_) AS mb FROM e), g AS (SELECT episode, frame, count(*) AS n, sum(ax * by_ - bx * ay) / 2 AS s FROM k WHERE far = ma AND far = mb GROUP BY 1, 2)
+SELECT mx.episode, mx.frame, coalesce(n, least(area, 1))::INT AS corners, coalesce(abs(s), 0)::DOUBLE AS hull_area FROM mx LEFT JOIN g USING (episode, frame)""")
 def hull(spark, d):
     return kernels.hull_area(src.mask_frames(spark, d, 0.2))
 
@@ -760,4 +764,4 @@ def set_difference(spark, d):
     return o.select("run", F.array_join(missing, ",").alias("missing"), (F.size(missing) == 0).alias("equal"))
 
 
-from . import reviews  # noqa: E402, F401  registers its queries here
+from . import pixels, records, reviews  # noqa: E402, F401  they register their queries here

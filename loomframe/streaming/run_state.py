@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +14,15 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from ..sources.adapters import table
 
 READY = ("completed", "skipped_complete")
+UNAVAILABLE = "SourceEpisodeUnavailable"
 
 
 def receipts(spark: SparkSession, folder: str, files: int = 2) -> DataFrame:
-    """The events of a folder as a stream of receipts (episode, seq, at, status), ``files`` files at a time."""
+    """The events of a folder as a stream of receipts (episode, seq, at, status, error), ``files`` files at a time."""
     schema = table(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", "events*.parquet").option("recursiveFileLookup", "true").parquet(folder)
     kind = F.when(F.col("event_id") % 5 == 0, "failed").when(F.col("event_id") % 3 == 0, "skipped_complete").when(F.col("event_id") % 2 == 0, "completed").otherwise("running")
-    return stream.select(F.col("user_id").alias("episode"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"), kind.alias("status"))
+    return stream.select(F.col("user_id").alias("episode"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"), kind.alias("status"), F.when(F.col("event_id") % 7 == 0, "decode failed").alias("error"))
 
 
 def latest_status(stream: DataFrame) -> DataFrame:
@@ -38,31 +41,83 @@ def tumbling(stream: DataFrame, width: str = "1 hour", late: str = "10 minutes")
 
 
 class Worker(StatefulProcessor):
-    """Keeps for each episode what has been done, so that a receipt that comes again isn't worked on twice."""
+    """One episode's life: pending until a receipt says that its source is ready, then worked on once, or failed when none came.
 
-    def init(self, handle) -> None:
-        self.state = handle.getValueState("done", "tries int, status string")
+    The deadline counts from the episode's first receipt, in the time of the receipts. What is kept can be told in any order:
+    the earliest receipt, the earliest ready one with its error, and the numbers of receipts seen, so that one sent twice
+    counts once and batches don't show. A timer at the deadline fails what isn't done by then.
+    """
 
-    def handleInputRows(self, key, rows, timer_values):  # noqa: N802, N803
-        tries, status = self.state.get() if self.state.exists() else (0, "pending")
+    def __init__(self, deadline_ms: int) -> None:
+        self.deadline = deadline_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "version int, receipts long, first long, ready long, seq long, error string, status string, error_type string")
+        self.seen = handle.getMapState("seen", "seq long", "at long")
+
+    def _row(self, key, state) -> pd.DataFrame:
+        names = ("version", "receipts", "first", "ready", "seq", "error", "status", "error_type")
+        now = dict(zip(names, state, strict=True))
+        row = {"episode": key[0], "version": now["version"], "receipts": now["receipts"], "status": now["status"], "error_type": now["error_type"], "error": now["error"] if now["status"] == "failed" else None}
+        return pd.DataFrame([row]).astype({"error_type": object, "error": object})
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        version, receipts, first, ready, seq, error, status, kind = self.known.get() if self.known.exists() else (0, 0, None, None, None, None, "pending", None)
         for frame in rows:
-            for new in frame.sort_values("seq")["status"]:
-                if status != "completed":
-                    tries, status = tries + 1, "completed" if new in READY else new
-        self.state.update((tries, status))
-        yield pd.DataFrame({"episode": [key[0]], "tries": [tries], "status": [status]})
+            for at, number, state, failure in zip(frame["at"].astype("int64") // 1000, frame["seq"], frame["status"], frame["error"], strict=True):
+                at, number, failure = int(at), int(number), failure if isinstance(failure, str) else None
+                if self.seen.containsKey((number,)):
+                    continue
+                self.seen.updateValue((number,), (at,))
+                receipts += 1
+                first = at if first is None else min(first, at)
+                if state in READY and (ready is None or (at, number) < (ready, seq)):
+                    ready, seq, error = at, number, failure
+        if kind != UNAVAILABLE:
+            in_time = ready is not None and ready - first <= self.deadline * 1000
+            status, kind = ("pending", None) if not in_time else ("complete", None) if error is None else ("failed", "SourceFailed")
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if not in_time:
+                self.handle.registerTimer(first // 1000 + self.deadline)
+        state = (version + 1, receipts, first, ready, seq, error, status, kind)
+        self.known.update(state)
+        yield self._row(key, state)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        version, receipts, first, ready, seq, _, _, _ = self.known.get()
+        state = (version + 1, receipts, first, ready, seq, "source episode did not become ready", "failed", UNAVAILABLE)
+        self.known.update(state)
+        yield self._row(key, state)
 
     def close(self) -> None:
         pass
 
 
-def worked(stream: DataFrame) -> DataFrame:
-    """What the worker has done with each episode's receipts so far, in update mode."""
-    return stream.groupBy("episode").transformWithStateInPandas(Worker(), outputStructType="episode long, tries int, status string", outputMode="Update", timeMode="None")
+def worked(stream: DataFrame, deadline_ms: int, late: str = "1 hour") -> DataFrame:
+    """What becomes of each episode's receipts (episode, seq, at, status, error), in update mode; ``version`` orders its rows.
+
+    Receipts may come ``late`` by as much without changing the outcome; later ones are dropped by the watermark.
+    """
+    keyed = stream.select("episode", "seq", "at", "status", "error").withWatermark("at", late).groupBy("episode")
+    return keyed.transformWithStateInPandas(Worker(deadline_ms), "episode long, version int, receipts long, status string, error_type string, error string", outputMode="Update", timeMode="EventTime")
+
+
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start here keep their state in RocksDB, as stateful processors ask for."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def finished(stream: DataFrame, checkpoint: str, mode: str = "complete", key: str | None = None) -> DataFrame:
-    """Run a stream over what there is, to its end, and return its rows (the last of each key in update mode).
+def finished(stream: DataFrame, checkpoint: str, mode: str = "complete", key: str | None = None, order: str = "batch") -> DataFrame:
+    """Run a stream over what there is, to its end, and return its rows (in update mode the last of each key by ``order``).
 
     Rows go to Parquet beside the checkpoint, a folder for each batch, so that a batch run again replaces its rows.
     """
@@ -76,6 +131,6 @@ def finished(stream: DataFrame, checkpoint: str, mode: str = "complete", key: st
     if mode == "complete":
         return rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0]).drop("batch")
     if key:
-        last = rows.groupBy(key).agg(F.max_by(F.struct(*(c for c in rows.columns if c not in (key, "batch"))), "batch").alias("x"))
+        last = rows.groupBy(key).agg(F.max_by(F.struct(*(c for c in rows.columns if c not in (key, "batch"))), order).alias("x"))
         return last.select(key, "x.*")
     return rows.drop("batch")

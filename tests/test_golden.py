@@ -79,14 +79,6 @@ def test_gate_takes_the_first_reason(spark):
     assert [r[0] for r in rows.collect()] == ["empty", "too_small", "too_large", "duplicate", "valid"]
 
 
-def test_largest_component_keeps_the_first_of_equals():
-    m = np.zeros((8, 8), bool)
-    m[0:2, 1] = m[0:2, 4] = True
-    four = kernels.labels(m, False)
-    assert four[0, 1] == four[1, 1] == 1
-    assert four[0, 4] == 2
-
-
 def test_suppressed_candidates_do_not_suppress(spark):
     rows = [("g", 1, 0b1111, True), ("g", 2, 0b0111, True), ("g", 3, 0b0011, True), ("g", 4, 0b1111, False)]
     found = kernels.suppress_duplicates(spark.createDataFrame(rows, "group string, id long, mask long, valid boolean"), "group", 0.7).orderBy("id").collect()
