@@ -2,13 +2,14 @@
 
 A signature has SYMBOLS values of BITS bits, each the low bits of a least hash over the document's shingles; two signatures
 differ in about 1 - similarity of their values. The values are cut into chunks. If two signatures differ in at most RADIUS
-values, they can't differ twice in all chunks, nor in all but one: at least two chunks differ in one value or none. So each
-chunk is looked up once for each value left out, which covers both cases, and no pair within RADIUS is missed. Pairs are
-then confirmed on the whole sets of shingles.
+values, they can't differ twice in all chunks: at least one differs in one value or none. So each chunk is looked up once for
+each value left out, which covers both cases, and no pair within RADIUS is missed. Pairs are then confirmed on the whole
+sets of shingles.
 
 Of equal sets one stands for all. A first round links each set with the one it meets most often, so that large groups of
-near copies are joined by few pairs; a second looks at pairs of what isn't joined yet. Lookups that many share are looked
-up again by a second chunk.
+near copies are joined by few pairs; a second looks at pairs of what isn't joined yet. Where a lookup brings many sets
+together, most of which aren't similar enough, those meet again by their rarest shingles: two similar sets share one of
+these, at places that leave room for as much overlap as their sizes ask for.
 """
 
 from __future__ import annotations
@@ -27,13 +28,19 @@ from .trie_join import distinct_grams, needed
 
 #: Values of a signature, and bits of each.
 SYMBOLS, BITS = 128, 16
-#: Chunks; 24 of five values and two of four.
-CHUNKS = 26
-#: Values in which two signatures may differ so that two chunks differ in one value at most: 24 chunks differ twice. Sets
-#: that are similar to 0.8 exceed it with a probability of 6e-7.
-RADIUS = 2 * (CHUNKS - 2) + 1
-#: Sets that one task compares at once; larger groups are looked up again or dealt by blocks of this size.
+#: Chunks, of five or six values.
+CHUNKS = 25
+#: Values in which two signatures may differ so that one chunk differs in one value at most. Sets that are similar to 0.8
+#: exceed it with a probability of 6e-7.
+RADIUS = 2 * CHUNKS - 1
+#: Sets that are brought to one set at once to be confirmed.
 GROUP = 400
+#: Sets that a lookup may bring together to be compared with each other; larger groups meet again by rare shingles.
+CROWD = 64
+#: Sets with one rare shingle that are compared at once; more are dealt by blocks.
+BLOCK = 20_000
+#: Shingles of many sets whose number is told to all executors: a bound, whatever the data. It only sets an order.
+FREQUENT = 100_000
 
 _U = np.uint64
 _rng = np.random.default_rng(12)
@@ -152,7 +159,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _near(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different labels within the groups (group, node, label, n, sig) that are within RADIUS."""
+    """Pairs (a, b) of different labels within the groups (key, node, label, n, sig) that are within RADIUS."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node", ignore_index=True)
@@ -165,30 +172,71 @@ def _near(groups: DataFrame, percent: int) -> DataFrame:
             found.append(np.stack([np.full(len(rest), node[i]), node[rest]], axis=1))
         return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 2), np.int64), columns=["a", "b"])
 
-    return groups.groupBy("group").applyInPandas(run, "a long, b long").where("a <> b").distinct()
+    return groups.groupBy("key").applyInPandas(run, "a long, b long").where("a <> b").distinct()
 
 
-def _mixed(tokens: DataFrame) -> DataFrame:
-    """Rows (key, held, node, label) of the keys whose nodes have different labels; of keys with the same nodes, that of the first chunk."""
+def _mixed(tokens: DataFrame, order: str = "key") -> DataFrame:
+    """Rows (key, held, node, label and what else there is) of the keys whose nodes have different labels; of keys with the same nodes, the first by ``order``."""
     marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"s{i}") for i in (1, 2)]
-    groups = tokens.groupBy("key").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"), *marks).where("low <> high")
-    return looked_up(tokens, groups.groupBy("held", "s1", "s2").agg(F.min_by("key", F.shiftrightunsigned("key", 57)).alias("key")).select("key", "held"), ["key"], "node")
+    groups = tokens.groupBy("key").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(order).alias("at"), *marks).where("low <> high")
+    return looked_up(tokens, groups.groupBy("held", "s1", "s2").agg(F.min_by("key", "at").alias("key")).select("key", "held"), ["key"], "node")
 
 
-def _again(large: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows (key, node, label) of large groups, keyed by a later chunk too: two chunks agree in any pair that counts."""
+def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several sets have, the FREQUENT most frequent at most, sorted, and each one's rank from the rarest on."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy().view(_U)
-            later = _CHUNK[None, :] > _CHUNK[(key >> _U(57)).astype(int)][:, None]
-            at, number = np.nonzero(later)
-            both = mix(key[at] + mix(lookups(_unpacked(batch.column(3)))[at, number]))
-            yield pa.RecordBatch.from_arrays([pa.array(both.view(np.int64)), batch.column(1).take(pa.array(at)), batch.column(2).take(pa.array(at))], names=["key", "node", "label"])
+            keys, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[n > 1]), pa.array(n[n > 1])], names=["key", "n"])
+
+    often = sets.select("keys").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    keys = often.orderBy(F.col("n").desc(), "key").limit(FREQUENT).select("key", "n").orderBy("n", "key").toArrow().column(0).to_numpy().view(_U)
+    order = np.argsort(keys)
+    return keys[order], order
+
+
+def _rare(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels of a crowd (node, label) that may be similar enough, by their rarest shingles.
 
-    return large.join(nodes.select("node", "sig").hint("merge"), "node").select("key", "node", "label", "sig").mapInArrow(run, "key long, node long, label long")
+    A set's shingles are ordered from rare to frequent. If two sets share as many as their sizes ask for, then the first one
+    that they share leaves at least so many in each of both, itself included.
+    """
+    known = crowd.sparkSession.sparkContext.broadcast(_frequent(sets.join(crowd.select("node"), "node", "left_semi")))
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, rank = known.value
+        for batch in batches:
+            parts = []
+            for i, data in enumerate(batch.column(2).to_pylist()):
+                keys = np.frombuffer(data, _U)
+                at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1) if len(hot) else None
+                often = np.where(hot[at] == keys, rank[at] + 1, 0) if len(hot) else np.zeros(len(keys), np.int64)
+                first = keys[np.lexsort((keys, often))][: len(keys) - -(-percent * len(keys) // 100) + 1]
+                parts.append((np.full(len(first), i), first.view(np.int64), np.arange(len(first)), np.full(len(first), len(keys))))
+            if parts:
+                row, key, place, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(n), pa.array(place)], names=["key", "node", "label", "n", "place"])
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["n", "node"], ignore_index=True)
+        node, label, n, place = (frame[c].to_numpy() for c in ("node", "label", "n", "place"))
+        found = []
+        low = np.searchsorted(n, -(-percent * n // 100))
+        for i in range(len(n)):  # with each set not larger than itself
+            rest = np.arange(low[i], i)
+            common = needed(n[rest], n[i], percent)
+            rest = rest[(label[rest] != label[i]) & (common <= n[i] - place[i]) & (common <= n[rest] - place[rest])]
+            found.append(np.stack([np.minimum(node[rest], node[i]), np.maximum(node[rest], node[i])], axis=1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    leads = crowd.join(sets.hint("merge"), "node").select("node", "label", "keys").mapInArrow(lead, "key long, node long, label long, n long, place long")
+    # of shingles with the same sets the first one counts, which comes first in all of them
+    dealt = _mixed(leads, "place").withColumn("parts", F.ceil(F.col("held") / BLOCK).cast("int"))
+    # what is held by more is dealt by blocks, every two blocks together once
+    paired = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("parts") - 1, F.lit(0)))).alias("with"))
+    groups = paired.select(F.struct("key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j")).alias("group"), "node", "label", "n", "place")
+    return groups.groupBy("group").applyInPandas(meet, "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,13 +272,9 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_column: s
     # then: sets that aren't joined yet
     marked = shared.join(labels.hint("merge"), "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = written(_mixed(marked))
-    again = _mixed(_again(mixed.where(F.col("held") > GROUP).drop("held"), nodes))
-    dealt = mixed.where(F.col("held") <= GROUP).unionByName(again).withColumn("parts", F.ceil(F.col("held") / GROUP).cast("int"))
-    # what is large still, in blocks, every two blocks together once
-    part = F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")
-    paired = dealt.select("*", part).select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("parts") - 1, F.lit(0)))).alias("with"))
-    groups = paired.select(F.struct("key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j")).alias("group"), "node", "label")
-    pairs = written(_near(groups.join(nodes.select("node", "n", "sig").hint("merge"), "node").select("group", "node", "label", "n", "sig"), percent))
+    small = mixed.where(F.col("held") <= CROWD).join(nodes.select("node", "n", "sig").hint("merge"), "node")
+    crowd = written(mixed.where(F.col("held") > CROWD).select("node", "label").distinct())
+    pairs = written(_near(small.select("key", "node", "label", "n", "sig"), percent).union(_close(_rare(crowd, sets, percent), nodes)).distinct())
 
     named = looked_up(signed.where("n > 0").select("doc", "n", "m0", "m1"), nodes.select("m0", "m1", "node"), ["m0", "m1"], "doc").select("doc", "n", "node")
     rows = written(named.union(signed.where("n = 0").select("doc", "n", F.col("doc").alias("node"))))
