@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import bitmaps, joints
 from ..sources import adapters as src
+from ..sources import archives, contexts, publication
 from ..streaming import run_state
-from .catalog import _KIND, _state_folder, query
+from .catalog import _KIND, _masks, _state_folder, query
 
 c = F.col
 
@@ -24,3 +29,181 @@ def stream_worker(spark, d):
     with run_state.rocks_state(spark):
         done = run_state.finished(run_state.worked(run_state.receipts(spark, d), 12 * 3600 * 1000), _state_folder(spark), "update", "episode", "version")
     return done.select("episode", "receipts", "status", "error_type", "error")
+
+
+# --- recorded timelines of three versions
+
+_CASES = (
+    "event_id AS id", "event_id % 3 + 1 AS v", "event_id % 2 AS tgt", "event_id % 37 AS k", "event_id % 7 AS m", "event_id % 7 + event_id % 3 AS cs",
+    "event_id % 7 + event_id % 3 + CASE WHEN event_id % 23 = 0 THEN 0 ELSE 1 + event_id % 4 END AS cd", "event_id % 7 + event_id % 3 + 2 + event_id % 4 + event_id % 5 AS os",
+    "event_id % 7 + event_id % 3 + 3 + event_id % 4 + event_id % 5 + event_id % 6 AS od",
+    "event_id % 7 + event_id % 3 + 4 + event_id % 4 + event_id % 5 + event_id % 6 + CASE WHEN event_id % 19 = 0 THEN -2 WHEN event_id % 31 = 0 THEN -20 ELSE event_id % 8 END AS n",
+)
+_S = "CAST({} AS STRING)"
+
+
+def _json_text() -> str:
+    """An expression of both engines for a recording: most are right, every 37th remainder breaks something else."""
+    s = _S.format
+    one = "v = 1 OR k = 21"
+    pairs = {
+        "op": f"'[' || {s('m')} || ',' || {s('CASE WHEN tgt = 1 THEN n - 1 ELSE od END')} || ']'",
+        "tg": f"'[' || {s('m')} || ',' || {s('CASE WHEN v < 3 THEN cd WHEN tgt = 1 THEN n - 1 ELSE os - 1 END + CASE WHEN k = 1 THEN 1 ELSE 0 END')} || ']'",
+        "rc": f"CASE WHEN tgt = 1 AND k <> 2 THEN 'null' ELSE '[' || {s('cd')} || ',' || {s('od + CASE WHEN k = 2 THEN 1 ELSE 0 END')} || CASE WHEN k = 3 THEN '.0' ELSE '' END || ']' END",
+    }
+    events = f"""'"active_arm":"' || CASE WHEN k = 4 THEN 'both' WHEN id % 5 = 0 THEN 'left' ELSE 'right' END || '",' || CASE WHEN tgt = 1 THEN '"t_remove_start":' || {s("m")} || ',"t_close_start":' || {s("cs")} || ',"t_close_end":' || {s("cd")}
+    ELSE '"t_move_start":' || CASE WHEN k = 5 THEN 'true' WHEN k = 6 THEN '-1' ELSE {s("m")} END || ',"t_close_start":' || {s("cs")} || ',"t_close_done":' || {s("cd")} || ',"t_open_start":' || {s("os")} || ',"t_open_done":' || {s("od")} END || CASE WHEN k = 7 THEN ',"more":1' ELSE '' END"""
+    windows = f"""CASE WHEN {one} THEN '"loop":' ELSE '"operation":' END || {pairs["op"]} || ',"target_0":' || {pairs["tg"]} || ',"receiver_0":' || {pairs["rc"]} || CASE WHEN v = 1 AND k % 2 = 0 THEN '' WHEN k = 8 THEN ',"gripper":[0,0]' WHEN k = 9 THEN ',"gripper":null' ELSE ',"gripper":' || {pairs["op"]} END"""
+    head = f"""'"format_version":"robotwin_loop_context_v' || {s("CASE WHEN k = 10 THEN 9 ELSE v END")} || '","episode":' || CASE WHEN k = 11 THEN '[]' ELSE '{{"task":"' || CASE WHEN k = 12 THEN 'pan' ELSE 'cup' END || '","episode_index":' || {s("id")} || CASE WHEN k = 13 THEN '.0' ELSE '' END || ',"episode_id":"' || CASE WHEN k = 14 THEN '' ELSE lpad({s("id")}, 6, '0') END || '","camera":"' || CASE WHEN k = 15 THEN 'side' ELSE 'front' END || '"}}' END
+    || ',"frame_count":' || CASE WHEN k = 16 THEN '0' WHEN k = 17 THEN '"9"' ELSE {s("n")} END || CASE WHEN tgt = 1 THEN ',"annotation_mode":"target_only"' WHEN k = 18 THEN ',"annotation_mode":"other"' WHEN k = 34 THEN ',"annotation_mode":"pick_place"' ELSE '' END"""
+    rest = """CASE WHEN v = 1 AND k <> 19 THEN '' WHEN k = 20 THEN '' WHEN k = 19 THEN ',"required_object_roles":["receiver"]' WHEN tgt = 1 THEN ',"required_object_roles":["target"]' ELSE ',"required_object_roles":["target","receiver"]' END || CASE WHEN v = 1 THEN '' WHEN k = 22 THEN ',"timeline_kind":"loop"' WHEN tgt = 1 THEN ',"timeline_kind":"close_hold"' ELSE ',"timeline_kind":"pick_place"' END"""
+    whole = f"""'{{' || {head} || {rest} || ',"events":' || CASE WHEN k = 23 THEN 'null' ELSE '{{' || {events} || '}}' END || ',"windows":' || CASE WHEN k = 24 THEN '7' ELSE '{{' || {windows} || '}}' END || '}}'"""
+    return f"CASE WHEN k = 25 THEN '{{oops' WHEN k = 26 THEN '[1]' WHEN k = 27 THEN NULL ELSE {whole} END"
+
+
+def _contexts_sql() -> str:
+    """DuckDB's own decoding of the same text."""
+    typed = lambda p: f"json_type(j, '$.{p}')"
+    whole = lambda p: f"CASE WHEN {typed(p)} IN ('UBIGINT', 'BIGINT') THEN (j->>'$.{p}')::BIGINT END"
+    pair = lambda n: f"CASE WHEN json_type(j, '$.windows.{n}[0]') IN ('UBIGINT', 'BIGINT') AND json_type(j, '$.windows.{n}[1]') IN ('UBIGINT', 'BIGINT') AND json_array_length(j, '$.windows.{n}') = 2 THEN [(j->>'$.windows.{n}[0]')::BIGINT, (j->>'$.windows.{n}[1]')::BIGINT] END"
+    names = ("t_move_start", "t_close_start", "t_close_done", "t_open_start", "t_open_done", "t_remove_start", "t_close_end")
+    keys = lambda p: f"list_sort(json_keys(j, '$.{p}'))"
+    return f"""WITH s AS (SELECT {', '.join(_CASES)} FROM events), t AS (SELECT id, {_json_text()} AS value FROM s), p AS (SELECT id, value, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM t),
+    r AS (SELECT id, j, json_type(j) AS top, try_cast(regexp_extract(j->>'$.format_version', '^robotwin_loop_context_v([123])$', 1) AS INT) AS version, coalesce(j->>'$.annotation_mode', 'pick_place') AS mode, {typed("episode")} AS et, j->>'$.episode.task' AS task, {whole("episode.episode_index")} AS ei, j->>'$.episode.episode_id' AS eid, j->>'$.episode.camera' AS cam,
+    {whole("frame_count")} AS frames, {typed("required_object_roles")} AS rt, (j->'$.required_object_roles')::VARCHAR AS roles, {typed("events")} AS vt, j->>'$.events.active_arm' AS arm, {typed("windows")} AS wt, j->>'$.timeline_kind' AS kind, {", ".join(f"{whole('events.' + n)} AS {n}" for n in names)},
+    {keys("events")} AS ek, {keys("windows")} AS wk, {", ".join(f"{pair(n)} AS w_{n}" for n in ("loop", "operation", "target_0", "receiver_0", "gripper"))}, {typed("windows.receiver_0")} AS rct, {typed("windows.gripper")} AS gt FROM p),
+    e AS (SELECT *, mode = 'pick_place' AS lp, CASE WHEN mode = 'pick_place' THEN t_move_start ELSE t_remove_start END AS a, CASE WHEN mode = 'pick_place' THEN t_close_done ELSE t_close_end END AS b FROM r),
+    x AS (SELECT *, CASE WHEN lp THEN [a, t_open_done] ELSE [a, frames - 1] END AS xo, CASE WHEN version < 3 THEN [a, b] WHEN lp THEN [a, t_open_start - 1] ELSE [a, frames - 1] END AS xt, [b, t_open_done] AS xr FROM e),
+    y AS (SELECT *, CASE WHEN top IS NULL THEN 'json' WHEN top <> 'OBJECT' THEN 'object' WHEN version IS NULL THEN 'format_version' WHEN et IS DISTINCT FROM 'OBJECT' THEN 'episode' WHEN task IS DISTINCT FROM 'cup' THEN 'episode.task' WHEN ei IS DISTINCT FROM id THEN 'episode.episode_index' WHEN eid IS DISTINCT FROM lpad(id::VARCHAR, 6, '0') THEN 'episode.episode_id' WHEN cam IS DISTINCT FROM 'front' THEN 'episode.camera'
+    WHEN frames IS NULL OR frames < 1 THEN 'frame_count' WHEN mode NOT IN ('pick_place', 'target_only') THEN 'annotation_mode' WHEN (rt IS NULL AND version > 1) OR (rt IS NOT NULL AND roles <> CASE WHEN lp THEN '["target","receiver"]' ELSE '["target"]' END) THEN 'required_object_roles' WHEN vt IS DISTINCT FROM 'OBJECT' THEN 'events' WHEN arm NOT IN ('left', 'right') THEN 'active_arm' WHEN wt IS DISTINCT FROM 'OBJECT' THEN 'windows'
+    WHEN version = 1 AND NOT lp THEN 'version' WHEN version > 1 AND kind IS DISTINCT FROM CASE WHEN lp THEN 'pick_place' ELSE 'close_hold' END THEN 'timeline_kind' WHEN ek <> list_sort(['active_arm'] || CASE WHEN lp THEN ['t_move_start', 't_close_start', 't_close_done', 't_open_start', 't_open_done'] ELSE ['t_remove_start', 't_close_start', 't_close_end'] END) THEN 'events.keys'
+    WHEN a IS NULL OR b IS NULL OR t_close_start IS NULL OR (lp AND (t_open_start IS NULL OR t_open_done IS NULL)) THEN 'events.numbers' WHEN a < 0 OR a > t_close_start OR t_close_start >= b OR (lp AND (b >= t_open_start OR t_open_start >= t_open_done)) THEN 'events.order' WHEN (version = 1 AND t_open_done >= frames) OR (NOT lp AND b >= frames) THEN 'events.end'
+    WHEN version = 1 THEN CASE WHEN w_loop IS DISTINCT FROM xo THEN 'windows.loop' WHEN w_target_0 IS DISTINCT FROM xt THEN 'windows.target_0' WHEN w_receiver_0 IS DISTINCT FROM xr THEN 'windows.receiver_0' WHEN gt IS NOT NULL AND gt <> 'NULL' AND w_gripper IS DISTINCT FROM xo THEN 'windows.gripper' END
+    WHEN wk <> ['gripper', 'operation', 'receiver_0', 'target_0'] THEN 'windows.keys' WHEN w_operation IS DISTINCT FROM xo THEN 'windows.operation' WHEN w_target_0 IS DISTINCT FROM xt THEN 'windows.target_0' WHEN CASE WHEN lp THEN w_receiver_0 IS DISTINCT FROM xr ELSE rct <> 'NULL' END THEN 'windows.receiver_0' WHEN w_gripper IS DISTINCT FROM xo THEN 'windows.gripper' END AS reason FROM x)
+    SELECT id, CASE WHEN reason IS NULL THEN version END AS version, CASE WHEN reason IS NULL THEN mode END AS mode, CASE WHEN reason IS NULL THEN xt[2] END AS target_end, CASE WHEN reason IS NULL AND b + 1 <= CASE WHEN lp THEN t_open_start - 1 ELSE frames - 1 END THEN b + 1 END AS hold_start, reason FROM y"""
+
+
+@query(_contexts_sql())
+def loop_contexts(spark, d):
+    """Recordings of three versions decoded, each with its windows or with what is wrong."""
+    s = src.table(spark, d, "events").selectExpr(*_CASES).select("id", F.expr(_json_text()).alias("value"))
+    found = contexts.decoded(s.select("*", F.lit("cup").alias("task"), c("id").alias("episode"), F.lit("front").alias("camera")))
+    return found.select("id", "version", "mode", c("target_0.end").alias("target_end"), c("hold.start").alias("hold_start"), "reason")
+
+
+# --- joint trees: every order is a robot, every line of it a joint and the link that it carries
+
+_JOINT = {
+    "robot": "l_orderkey", "n": "l_linenumber", "parent": "CASE WHEN l_linenumber = 1 THEN 'base' WHEN l_suppkey % 90 = 1 THEN 'l99' ELSE concat('l', CAST(floor(l_linenumber / 2) AS INT)) END",
+    "kind": "CASE WHEN l_partkey % 211 = 0 THEN 'ball' WHEN l_linenumber % 4 = 0 THEN 'fixed' WHEN l_linenumber % 4 = 1 THEN 'revolute' WHEN l_linenumber % 4 = 2 THEN 'prismatic' ELSE 'continuous' END",
+    "x": "CAST(l_quantity / 100 AS DOUBLE)", "y": "CAST(l_discount AS DOUBLE)", "z": "CAST(l_tax AS DOUBLE)", "roll": "CAST(l_suppkey % 7 AS DOUBLE) * 0.5", "pitch": "CAST(l_partkey % 5 AS DOUBLE) * 0.25", "yaw": "CAST(l_orderkey % 11 AS DOUBLE) * 0.5",
+    "ax": "CAST(l_suppkey % 3 - 1 AS DOUBLE)", "ay": "CAST(l_partkey % 2 AS DOUBLE)", "az": "CASE WHEN l_suppkey % 60 = 2 THEN 0e0 ELSE 1e0 END", "q": "CASE WHEN l_linenumber % 3 = 0 THEN 0e0 ELSE l_tax * 10 - 0.3 END",
+}
+_LINES = "(SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_discount)"
+_ROBOTS = f"""j AS MATERIALIZED (SELECT {', '.join(f'{e} AS {n}' for n, e in _JOINT.items())} FROM {_LINES}), k AS (SELECT j.*, parent = 'base' OR p.n IS NOT NULL AS known, sqrt(ax * ax + ay * ay + az * az) AS len FROM j LEFT JOIN (SELECT robot, n FROM j) p ON p.robot = j.robot AND 'l' || p.n = j.parent),
+    g AS (SELECT robot, CASE WHEN bool_or(kind = 'ball') THEN 'type' WHEN NOT bool_and(known) THEN 'unknown_link' WHEN bool_or(kind <> 'fixed' AND len = 0) THEN 'axis' END AS reason FROM k GROUP BY 1)"""
+
+
+def _rpy_rows(roll: str, pitch: str, yaw: str) -> list[list[str]]:
+    sr, cr, sp, cp, sy, cy = (f"{f}({a})" for a in (roll, pitch, yaw) for f in ("sin", "cos"))
+    return [[f"{cy}*{cp}", f"({cy}*{sp}*{sr}-{sy}*{cr})", f"({cy}*{sp}*{cr}+{sy}*{sr})"], [f"{sy}*{cp}", f"({sy}*{sp}*{sr}+{cy}*{cr})", f"({sy}*{sp}*{cr}-{cy}*{sr})"], [f"-{sp}", f"{cp}*{sr}", f"{cp}*{cr}"]]
+
+
+def _trees_sql() -> str:
+    """Rotations and offsets of links, composed level by level."""
+    o = _rpy_rows("roll", "pitch", "yaw")
+    w = [["1-v*(uy*uy+uz*uz)", "v*ux*uy-s*uz", "v*ux*uz+s*uy"], ["v*ux*uy+s*uz", "1-v*(ux*ux+uz*uz)", "v*uy*uz-s*ux"], ["v*ux*uz-s*uy", "v*uy*uz+s*ux", "1-v*(ux*ux+uy*uy)"]]
+    origin = ", ".join(f"{o[i][j]} AS o{i}{j}" for i in range(3) for j in range(3))
+    motion = ", ".join(f"{w[i][j]} AS w{i}{j}" for i in range(3) for j in range(3))
+    local = ", ".join(f"o{i}0*w0{j}+o{i}1*w1{j}+o{i}2*w2{j} AS m{i}{j}" for i in range(3) for j in range(3))
+    offset = ", ".join(f"{a} + slide*(o{i}0*ax+o{i}1*ay+o{i}2*az) AS t{i}" for i, a in enumerate("xyz"))
+    turned = ", ".join(f"r.r{i}0*m.m0{j}+r.r{i}1*m.m1{j}+r.r{i}2*m.m2{j}" for i in range(3) for j in range(3))
+    moved = ", ".join(f"r.p{i}+r.r{i}0*m.t0+r.r{i}1*m.t1+r.r{i}2*m.t2" for i in range(3))
+    names = ", ".join([f"r{i}{j}" for i in range(3) for j in range(3)] + [f"p{i}" for i in range(3)])
+    return f"""WITH RECURSIVE {_ROBOTS}, a AS (SELECT k.*, CASE WHEN kind IN ('revolute', 'continuous') THEN q ELSE 0 END AS angle, CASE WHEN kind = 'prismatic' THEN q ELSE 0 END AS slide, CASE WHEN kind IN ('revolute', 'continuous') THEN ax / len ELSE 1 END AS ux, CASE WHEN kind IN ('revolute', 'continuous') THEN ay / len ELSE 0 END AS uy, CASE WHEN kind IN ('revolute', 'continuous') THEN az / len ELSE 0 END AS uz FROM k JOIN g USING (robot) WHERE reason IS NULL),
+    b AS (SELECT *, sin(angle) AS s, 1 - cos(angle) AS v, {origin} FROM a), d AS (SELECT *, {motion} FROM b), m AS MATERIALIZED (SELECT robot, 'l' || n AS link, parent, {local}, {offset} FROM d),
+    r(robot, link, {names}) AS (SELECT DISTINCT robot, 'base', 1e0, 0e0, 0e0, 0e0, 1e0, 0e0, 0e0, 0e0, 1e0, 0e0, 0e0, 0e0 FROM m UNION ALL SELECT r.robot, m.link, {turned}, {moved} FROM r JOIN m ON m.robot = r.robot AND m.parent = r.link)
+    SELECT robot, link, round(p0, 6) AS x, round(p1, 6) AS y, round(p2, 6) AS z, round(r00 + r11 + r22, 6) AS spin FROM r"""
+
+
+def _robots(spark, d):
+    """XML and joint positions of every order."""
+    first = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"))
+    lines = src.table(spark, d, "lineitem").withColumn("first", first).where("first = 1")
+    j = lines.selectExpr(*(f"{e} AS {n}" for n, e in _JOINT.items()))
+    three = lambda *names: F.concat_ws(" ", *(c(n).cast("string") for n in names))
+    joint = F.concat(
+        F.format_string('<joint name="j%d" type="%s"><parent link="%s"/><child link="l%d"/>', "n", "kind", "parent", "n"), F.lit('<origin xyz="'), three("x", "y", "z"), F.lit('" rpy="'), three("roll", "pitch", "yaw"),
+        F.lit('"/><axis xyz="'), three("ax", "ay", "az"), F.lit('"/></joint>'),
+    )
+    parts = j.groupBy("robot").agg(
+        F.array_join(F.array_sort(F.collect_list(F.format_string('<link name="l%d"/>', "n"))), "").alias("l"), F.array_join(F.array_sort(F.collect_list(joint)), "").alias("j"),
+        F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("j"), "n"), "q"))).alias("positions"),
+    )
+    return parts.select("robot", F.concat(F.lit('<robot name="r"><link name="base"/>'), "l", "j", F.lit("</robot>")).alias("xml"), "positions")
+
+
+@query(f"WITH {_ROBOTS} SELECT g.robot, count(*) AS joints, any_value(reason) AS reason FROM g JOIN k ON k.robot = g.robot GROUP BY 1")
+def joint_models(spark, d):
+    """Robots read from XML: how many joints, and what is wrong with them."""
+    found = joints.judged(joints.models(_robots(spark, d).select("robot", "xml")))
+    return found.select("robot", F.size("joints").cast("long").alias("joints"), "reason")
+
+
+@query(_trees_sql())
+def joint_tree(spark, d):
+    """Where every link of every sound robot is."""
+    r = _robots(spark, d)
+    sound = joints.judged(joints.models(r.select("robot", "xml")))
+    poses = joints.link_poses(sound, r.select("robot", "positions"), ["robot"])
+    at = lambda i: F.round(F.get("pose", i), 6)
+    return poses.select("robot", "link", at(3).alias("x"), at(7).alias("y"), at(11).alias("z"), F.round(F.get("pose", 0) + F.get("pose", 5) + F.get("pose", 10), 6).alias("spin"))
+
+
+# --- publications
+
+
+def _fresh(spark) -> str:
+    return f"{_state_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@query("SELECT o_orderkey AS episode, o_custkey AS frames, o_orderstatus AS run, o_orderkey % 4 AS chunk, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 < 2 THEN 'again' ELSE 'first' END AS status FROM orders")
+def canonical_publication(spark, d):
+    """A table after two publications, the second of some partitions, and a third that was staged and never committed."""
+    root, keys = _fresh(spark), ["run", "chunk"]
+    first = src.table(spark, d, "orders").select(c("o_orderkey").alias("episode"), c("o_custkey").alias("frames"), c("o_orderstatus").alias("run"), (c("o_orderkey") % 4).alias("chunk"), F.lit("first").alias("status"))
+    rules = {"episodes": lambda t: t.where("frames < 0 or status is null")}
+    publication.publish(spark, {"episodes": first}, root, keys, rules)
+    publication.publish(spark, {"episodes": first.withColumn("status", F.when((c("run") == "F") & (c("chunk") < 2), "again").otherwise(c("status")))}, root, keys, rules, resume=True)
+    publication.stage({"episodes": first.where("run = 'P'").withColumn("status", F.lit("lost"))}, root, keys)
+    return publication.published(spark, root, "episodes", first, keys)
+
+
+@query("""SELECT 'role_results' AS name, count(DISTINCT o_orderpriority) AS partitions, count(*) AS rows FROM orders UNION ALL SELECT 'mask_frames', count(DISTINCT label), count(*) FROM embeddings UNION ALL SELECT 'qc_attempts', count(DISTINCT role), count(*) FROM conversations UNION ALL SELECT 'qc_candidates', count(DISTINCT p_brand), count(*) FROM part""")
+def object_stage(spark, d):
+    """What one commit holds of the four tables that a stage writes: results by role, masks, attempts and candidates."""
+    root = _fresh(spark)
+    masks = src.mask_frames(spark, d).select(c("episode").cast("string").alias("run"), "frame", "mask", F.when(c("mask") != 0, 1).otherwise(0).alias("code"))
+    tables = {
+        "role_results": src.records(spark, d).select(c("task").alias("run"), "episode", "status"), "mask_frames": masks, "qc_attempts": src.table(spark, d, "conversations").select(c("role").alias("run"), "conv_id", "turn"),
+        "qc_candidates": src.candidates(spark, d).select(c("query").alias("run"), "id", "area"),
+    }
+    publication.publish(spark, tables, root, ["run"], {"mask_frames": lambda t: t.where("(code <> 0) <> (mask <> 0)")})
+    return publication.history(spark, root).select("name", "partitions", "rows")
+
+
+# --- archives of masks
+
+
+@query(f"""WITH {_masks(0.2)}, a AS (SELECT episode, frame // 4 AS frame, frame % 4 AS channel, area FROM mx), n AS (SELECT episode, max(frame) + 1 AS frames FROM a GROUP BY 1)
+SELECT n.episode::BIGINT AS episode, k.channel::INT AS channel, any_value(frames)::BIGINT AS frames, coalesce(sum(area), 0)::BIGINT AS pixels, count(CASE WHEN area > 0 AND NOT (k.channel = 0 AND a.frame % 3 = 1) THEN 1 END) AS visible, count(CASE WHEN area > 0 AND k.channel = 0 AND a.frame % 3 = 1 THEN 1 END) AS held
+FROM n CROSS JOIN range(4) k(channel) LEFT JOIN a ON a.episode = n.episode AND a.channel = k.channel GROUP BY 1, 2""")
+def archive_scan(spark, d):
+    """Masks written as archives, one of an episode, and scanned again."""
+    folder, at = _fresh(spark), c("frame")
+    code = F.when(c("mask") == 0, 0).when((at % 4 == 0) & (F.floor(at / 4) % 3 == 1), 2).otherwise(1)
+    m = src.mask_frames(spark, d, 0.2).select("episode", (at % 4).alias("channel"), F.floor(at / 4).cast("int").alias("frame"), code.alias("code"), F.array(*(F.call_function("shiftrightunsigned", c("mask"), F.lit(8 * i)).bitwiseAND(F.lit(255).cast("bigint")) for i in range(8))).alias("mask"))
+    if archives.write_archives(m, folder, 8, 8).where("reason is not null").limit(1).count():
+        raise ValueError("an episode could not be written")
+    s = archives.scan(spark, folder, columns=("episode", "channel", "frame", "code", "mask"))
+    return s.groupBy("episode", "channel").agg(F.count("*").alias("frames"), F.sum(bitmaps.area(c("mask"))).alias("pixels"), F.count_if(c("code") == 1).alias("visible"), F.count_if(c("code") == 2).alias("held"))
