@@ -126,3 +126,9 @@ def repaired_order(order: Column, known: Column, last: str) -> Column:
     """An order of names with repetitions and unknown names dropped, missing ones added, and ``last`` at the end."""
     kept = F.filter(F.array_distinct(order), lambda x: F.array_contains(known, x))
     return F.array_append(F.array_remove(F.concat(kept, F.array_except(known, kept)), last), F.lit(last))
+
+
+def whole_json(value: Column) -> Column:
+    """A JSON text as a variant; null if it isn't exactly one value (Spark's parser alone takes no notice of what follows it)."""
+    listed = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    return F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+
 c = F.col
 
 # --- plans
@@ -57,7 +59,7 @@ def resolved_datasets(manifests: DataFrame, mode: str, task: str | None = None)
     their reason.
     """
     m = manifests.select("root", "value", F.from_json("value", _MANIFEST).alias("m"))
-    read = m.select("root", "m.*", F.coalesce(F.get_json_object("value", "$.datasets").isNotNull(), F.lit(False)).alias("many"), (F.try_parse_json("value").isNotNull() & F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))).alias("ok"))
+    read = m.select("root", "m.*", F.coalesce(F.get_json_object("value", "$.datasets").isNotNull(), F.lit(False)).alias("many"), F.coalesce(F.schema_of_variant(text.whole_json(c("value"))).startswith("OBJECT"), F.lit(False)).alias("ok"))
     numbers = F.transform("episode_indices", lambda e: F.when(e.rlike(r"^-?\d+$"), e.try_cast("bigint")))
     own = F.coalesce(
         F.when(~c("ok"), "json"), F.when(~c("profile").eqNullSafe(mode), "profile"), F.when(F.coalesce(c("task"), F.lit("")) == "", "task"), F.when(F.coalesce(c("camera"), F.lit("")) == "", "camera"),
@@ -105,7 +107,8 @@ def composite(episodes: DataFrame, detected: DataFrame, given: DataFrame, key: s
     names = ("move_start", "close_start", "close_done", "open_start", "open_done")
     g = given.select(key, *(c(n).alias(f"__{n}") for n in names), "start", "end")
     both = episodes.join(detected.select(key, *names), key, "left").join(g, key, "left")
-    has_events, has_window = c("__move_start").isNotNull(), c("start").isNotNull() & c("end").isNotNull()
+    has_events, has_window = c("__move_start").isNotNull(), c("__window")
+    both = both.withColumn("__window", c("start").isNotNull() & c("end").isNotNull())
     taken = both.withColumns({n: F.when(has_events, c(f"__{n}")).when(c("open_done").isNotNull(), c(n)) for n in names})
     taken = taken.withColumns({"start": F.when(has_events, c("start")).otherwise(c("move_start")), "end": F.when(has_events, c("end")).otherwise(c("open_done"))})
     holds = has_events & c("open_done").isNull()

@@ -74,12 +74,18 @@ def window_differences(expected: DataFrame, recorded: Column) -> DataFrame:
 
 
 def shapes(arms: DataFrame, key: str) -> DataFrame:
-    """Shape and arm of each recording from its arms' (arm, loops, holds, close_start).
+    """Shape and arm of each recording from its arms' (arm, loops, holds, close_start, close_done).
 
     pick_place if there is exactly one loop in all, close_hold if exactly one arm closes and holds, else other; the arm is
-    that of the loop, of the hold, or the one that closes first, the left one of equals.
+    that of the loop, of the hold, or the one that begins first to close until it is stable: both if two begin at once, none
+    if there is none.
     """
     loops, holds = F.sum("loops"), F.count_if("holds")
-    first = F.min_by("arm", F.when(c("close_start").isNotNull(), F.struct("close_start", "arm")))
-    arm = F.when(loops == 1, F.min(F.when(c("loops") == 1, c("arm")))).when(holds == 1, F.min(F.when(c("holds"), c("arm")))).otherwise(first)
+    start = F.when(c("close_done").isNotNull(), c("close_start"))
+    starts = F.array_compact(F.collect_list(F.when(start.isNotNull(), F.struct(start.alias("at"), "arm"))))  # one of each arm
+    first = F.transform(F.filter(starts, lambda s: s["at"] == F.array_min(starts)["at"]), lambda s: s["arm"])
+    arm = (
+        F.when(loops == 1, F.min(F.when(c("loops") == 1, c("arm")))).when(holds == 1, F.min(F.when(c("holds"), c("arm"))))
+        .when(F.size(starts) == 0, "none").when(F.size(first) > 1, "both").otherwise(F.get(first, 0))
+    )
     return arms.groupBy(key).agg(F.when(loops == 1, "pick_place").when(holds == 1, "close_hold").otherwise("other").alias("shape"), arm.alias("arm"))

@@ -764,4 +764,4 @@ def set_difference(spark, d):
     return o.select("run", F.array_join(missing, ",").alias("missing"), (F.size(missing) == 0).alias("equal"))
 
 
-from . import pixels, records, reviews  # noqa: E402, F401  they register their queries here
+from . import agreements, pixels, records, reviews  # noqa: E402, F401  they register their queries here

@@ -72,14 +72,14 @@ def event_order(spark, d):
 
 
 @query(f"""WITH {_runs(0.3, 0.9)}, n AS (SELECT episode, max(frame) AS last FROM fil GROUP BY 1), e AS (SELECT fl.episode, bool_and(CASE WHEN frame < 3 THEN f >= 0.9 END) AS so, bool_and(CASE WHEN frame > last - 3 THEN f <= 0.3 END) AS ec, max(CASE WHEN is_open THEN frame END) AS lo FROM fl JOIN n USING (episode) GROUP BY 1),
-a AS (SELECT s4.episode // 2 AS recording, CASE WHEN s4.episode % 2 = 0 THEN 'left' ELSE 'right' END AS arm, (open_done IS NOT NULL)::INT AS l, (close_done IS NOT NULL AND so AND ec AND NOT coalesce(lo > close_done, false)) AS h, close_start AS cs FROM s4 JOIN e USING (episode)),
-g AS (SELECT recording, sum(l) AS l, count(CASE WHEN h THEN 1 END) AS h, min(CASE WHEN l = 1 THEN arm END) AS la, min(CASE WHEN h THEN arm END) AS ha, min(CASE WHEN cs IS NOT NULL THEN lpad(cs::VARCHAR, 9, '0') || arm END)[10:] AS fa FROM a GROUP BY 1)
-SELECT recording, CASE WHEN l = 1 THEN 'pick_place' WHEN h = 1 THEN 'close_hold' ELSE 'other' END AS shape, CASE WHEN l = 1 THEN la WHEN h = 1 THEN ha ELSE fa END AS arm FROM g""")
+a AS (SELECT s4.episode // 2 AS recording, CASE WHEN s4.episode % 2 = 0 THEN 'left' ELSE 'right' END AS arm, (open_done IS NOT NULL)::INT AS l, (close_done IS NOT NULL AND so AND ec AND NOT coalesce(lo > close_done, false)) AS h, CASE WHEN close_done IS NOT NULL THEN close_start END AS cs FROM s4 JOIN e USING (episode)),
+g AS (SELECT recording, sum(l) AS l, count(CASE WHEN h THEN 1 END) AS h, min(CASE WHEN l = 1 THEN arm END) AS la, min(CASE WHEN h THEN arm END) AS ha, count(cs) AS n, count(DISTINCT cs) AS dn, arg_min(arm, cs) AS fa FROM a GROUP BY 1)
+SELECT recording, CASE WHEN l = 1 THEN 'pick_place' WHEN h = 1 THEN 'close_hold' ELSE 'other' END AS shape, CASE WHEN l = 1 THEN la WHEN h = 1 THEN ha WHEN n = 0 THEN 'none' WHEN n = 2 AND dn = 1 THEN 'both' ELSE fa END AS arm FROM g""")
 def recording_shapes(spark, d):
     s = src.signals(spark, d)
     holds = sequence.target_only_events(s, closed_at=0.3).select("episode", c("accepted").alias("holds"))
     e = sequence.loop_events(s, closed_at=0.3).join(holds, "episode")
-    arms = e.select(F.floor(c("episode") / 2).alias("recording"), F.when(c("episode") % 2 == 0, "left").otherwise("right").alias("arm"), (c("outcome") == "loop").cast("int").alias("loops"), "holds", "close_start")
+    arms = e.select(F.floor(c("episode") / 2).alias("recording"), F.when(c("episode") % 2 == 0, "left").otherwise("right").alias("arm"), (c("outcome") == "loop").cast("int").alias("loops"), "holds", "close_start", "close_done")
     return timeline.shapes(arms, "recording")
 
 
@@ -266,11 +266,11 @@ def failure_records(spark, d):
     return review.failures(e, "event_id", "failure_v1")
 
 
-@query("""WITH k AS (SELECT l_suppkey AS list, l_orderkey * CASE WHEN l_suppkey % 3 = 0 AND l_linenumber = 1 THEN -1 ELSE 1 END AS episode FROM lineitem WHERE l_suppkey % 2 = 0 OR l_linenumber = 1), g AS (SELECT list, count(*) AS n, count(DISTINCT k.episode) AS dn, count(CASE WHEN o_orderkey IS NULL THEN 1 END) AS unknown FROM k LEFT JOIN orders ON o_orderkey = k.episode GROUP BY 1)
+@query("""WITH k AS (SELECT l_suppkey AS list, l_orderkey * CASE WHEN l_suppkey % 3 = 0 AND l_linenumber = 1 THEN -1 ELSE 1 END AS episode FROM lineitem), g AS (SELECT list, count(*) AS n, count(DISTINCT k.episode) AS dn, count(CASE WHEN o_orderkey IS NULL THEN 1 END) AS unknown FROM k LEFT JOIN orders ON o_orderkey = k.episode GROUP BY 1)
 SELECT list, CASE WHEN n <> dn THEN 'repeated' WHEN list % 7 = 1 THEN 'count' WHEN unknown > 0 THEN 'unknown' END AS reason FROM g""")
 def case_lists(spark, d):
     odd = F.when((c("l_suppkey") % 3 == 0) & (c("l_linenumber") == 1), -1).otherwise(1)
-    k = src.table(spark, d, "lineitem").where("l_suppkey % 2 = 0 or l_linenumber = 1").select(c("l_suppkey").alias("list"), (c("l_orderkey") * odd).alias("episode"))
+    k = src.table(spark, d, "lineitem").select(c("l_suppkey").alias("list"), (c("l_orderkey") * odd).alias("episode"))
     n = k.groupBy("list").agg((F.count("*") + (c("list") % 7 == 1).cast("int")).alias("declared"))
     return review.case_list(k.join(n, "list"), src.table(spark, d, "orders").select(c("o_orderkey").alias("episode")), c("declared"))
 
@@ -388,11 +388,11 @@ def dynamic_manifest(spark, d):
     return episodes.dynamic_manifest(o).select("task", c("smoke").alias("first"), F.size("episodes").cast("bigint").alias("episodes"), "frame_count")
 
 
-@query("""SELECT 'run' || (l_suppkey % 3)::VARCHAR AS run, l_orderkey AS episode FROM lineitem WHERE l_linenumber = 1 AND l_returnflag = 'R' AND l_suppkey % 3 < 2""")
+@query("""SELECT 'run' || (l_suppkey % 3)::VARCHAR AS run, l_orderkey AS episode FROM lineitem WHERE l_linenumber = 1 AND l_returnflag = 'R'""")
 def artifact_scan(spark, d):
     odd = F.when(c("l_linenumber") == 1, "masks.npz").otherwise("seed.png")
     p = src.table(spark, d, "lineitem").select(F.format_string("/runs/run%d/%s/episode_%06d/front/%s", c("l_suppkey") % 3, F.when(c("l_returnflag") == "R", "cup").otherwise("bottle"), c("l_orderkey"), odd).alias("path"))
-    return episodes.artifacts(p, "cup", "front").where("run <> 'run2'").select("run", "episode")
+    return episodes.artifacts(p, "cup", "front").select("run", "episode")
 
 
 @query("SELECT event_type, count(CASE WHEN user_id % 2 = 0 THEN 1 END) AS kept, count(CASE WHEN user_id % 2 <> 0 THEN 1 END) AS dropped FROM events GROUP BY 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..operators import timeline
 
 c = F.col
@@ -64,7 +65,7 @@ def decoded(recordings: DataFrame) -> DataFrame:
     kind, and only version 3 keeps the target through its hold. A null value or a repeated key is ``json``.
     """
     given = recordings.columns
-    v = recordings.withColumn("__v", F.try_parse_json("value"))
+    v = recordings.withColumn("__v", text.whole_json(c("value")))
     steps = {
         "version": F.array_position(F.array(*map(F.lit, VERSIONS)), _text("format_version")).cast("int"),
         "mode": F.when(_kind("annotation_mode").isNull(), F.lit(PICK_PLACE)).otherwise(_text("annotation_mode")),

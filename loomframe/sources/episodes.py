@@ -43,11 +43,32 @@ def arm_signals(states: DataFrame) -> DataFrame:
     return states.select(F.col("episode_index").alias("episode"), F.col("frame_index").alias("frame"), F.inline(arms))
 
 
+def _odd(numbers: Column, size: int) -> Column:
+    """Whether an array isn't so many finite numbers."""
+    return numbers.isNull() | (F.size(numbers) != size) | F.exists(numbers, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+
+
 def state_violations(states: DataFrame) -> DataFrame:
     """Rows whose state doesn't have 14 finite numbers."""
-    s = F.col("`observation.state`")
-    bad = s.isNull() | (F.size(s) != 14) | F.exists(s, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return states.where(bad).select("episode_index", "frame_index")
+    return states.where(_odd(F.col("`observation.state`"), 14)).select("episode_index", "frame_index")
+
+
+def joint_violations(states: DataFrame, size: int) -> DataFrame:
+    """Rows whose joints don't have ``size`` finite numbers: those that ``joints`` leaves out, and those with numbers that aren't finite."""
+    return states.where(_odd(F.col("`observation.state.joint_absolute`"), size)).select("episode_index", "frame_index")
+
+
+def file_violations(states: DataFrame, file: str, joints: int | None = None) -> DataFrame:
+    """For each file its frames, odd_states, odd_joints, and reasons: frames (not 0, 1, ... once each), episodes (not exactly one), states, joints."""
+    none = F.lit(0).cast("bigint")
+    odd_joints = F.count_if(_odd(F.col("`observation.state.joint_absolute`"), joints)) if joints else none
+    n = states.groupBy(file).agg(
+        F.count("*").alias("frames"), F.min("frame_index").alias("__low"), F.max("frame_index").alias("__high"), F.count_distinct("frame_index").alias("__distinct"), F.count_distinct("episode_index").alias("__episodes"),
+        F.count_if(F.col("episode_index").isNull()).alias("__none"), F.count_if(_odd(F.col("`observation.state`"), 14)).alias("odd_states"), odd_joints.alias("odd_joints"),
+    )
+    whole = (F.col("__low") == 0) & (F.col("__high") == F.col("frames") - 1) & (F.col("__distinct") == F.col("frames"))
+    reasons = {"frames": ~F.coalesce(whole, F.lit(False)), "episodes": (F.col("__episodes") != 1) | (F.col("__none") > 0), "states": F.col("odd_states") > 0, "joints": F.col("odd_joints") > 0}
+    return n.select(file, "frames", "odd_states", "odd_joints", F.array_join(F.array_compact(F.array(*(F.when(rule, name) for name, rule in reasons.items()))), ",").alias("reasons"))
 
 
 def last_lines(lines: DataFrame, key: str, order: str) -> DataFrame:
