@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one step of a kernel works on; a longer text is a step of its own.
 SLICE = 1 << 20
+#: Links whose components one task finds in memory (16 bytes each, and as much again for their nodes).
+LINKS = 1_000_000
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -183,14 +185,41 @@ def looked_up(rows: DataFrame, table: DataFrame, key: list[str], by: str | tuple
     return dealt.join(answers.hint("merge"), [*key, "__share"]).drop("__share")
 
 
+def _stars(links: DataFrame, blocks: int) -> DataFrame:
+    """Rows (a, b): every node b of a block of ``links`` with the smallest node a that the block's links reach from it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if not held:
+            return
+        nodes, ends = np.unique(np.concatenate([np.concatenate(x) for x in zip(*held, strict=True)]), return_inverse=True)
+        a, b = ends[: len(ends) // 2], ends[len(ends) // 2 :]
+        root = np.arange(len(nodes))
+        while (root[a] != root[b]).any():  # larger roots hang below smaller ones, then all point to their roots
+            low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+            np.minimum.at(root, high, low)
+            while (root[root] != root).any():
+                root = root[root]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[root]), pa.array(nodes)], names=["a", "b"])
+
+    return links.repartition(blocks).mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """Components of ``links`` (a, b: long): rows (node, component), component being the smallest node reached.
 
-    Every round points each node to the smallest label among its neighbours', each label's own node to the smallest that
-    its members have seen, and then each node to its label's own label, so that labels reach twice as far each time. Nothing but the count of changes reaches the driver.
-    A node that is linked with nothing has no row.
+    Links are dealt to blocks of about ``LINKS``, and each block's own components become stars around their smallest
+    nodes. If there are several blocks, rounds join their stars: every round points each node to the smallest label among its
+    neighbours', each label's own node to the smallest that its members have seen, and then each node to its label's own
+    label, so that labels reach twice as far each time. Nothing but counts reaches the driver. A node that is linked with
+    nothing has no row.
     """
-    both = written(links.select("a", "b").where("a <> b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
+    given = written(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"))
+    blocks = max(1, -(-given.count() // LINKS))
+    stars = written(_stars(given, blocks))
+    if blocks == 1:
+        return stars.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    both = written(stars.where("a <> b").union(stars.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
     for _ in range(rounds):
         # what is used more than once is written, or the plan would hold it many times

@@ -425,10 +425,13 @@ def test_components_of_an_empty_table(none):
     assert trie_join.jaccard_components(none).count() == 0
 
 
-def test_components_of_links(spark):
-    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 95)]
+@pytest.mark.parametrize("size", [common.LINKS, 7])
+def test_components_of_links(spark, size, monkeypatch):
+    monkeypatch.setattr(common, "LINKS", size)
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 95), (95, 95), (90, 100)]
     found = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 1 for i in range(1, 61)} | {90: 90, 95: 90, 100: 90}
+    assert common.components(spark.createDataFrame([(5, 5)], "a long, b long")).count() == 0
 
 
 # op10
