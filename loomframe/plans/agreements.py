@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import bitmaps, contracts, quality, sequence
+from ..operators import bitmaps, contracts, quality, sequence, stages
 from ..sources import adapters as src
 from ..sources import episodes
-from .catalog import _RAW, _masks, _runs, query
+from .catalog import _RAW, ORACLES, _masks, _runs, query
+from .reviews import _BITS, _wide
 
 c = F.col
 
@@ -199,3 +200,44 @@ def state_files(spark, d):
         state.alias("observation.state"), joints.alias("observation.state.joint_absolute"),
     )
     return episodes.file_violations(rows, "file", 12)
+
+
+# --- stages taken up again
+
+
+@query("""WITH e AS (SELECT o_orderkey AS episode, count(*) AS n, any_value(o_custkey) AS k FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1), t AS (SELECT e.*, r.role, row_number() OVER () AS x FROM e, (VALUES ('target'), ('receiver')) r(role)),
+p AS (SELECT l_orderkey AS episode, sum(l_suppkey % 2) + count(*) AS pixels, count(DISTINCT l_linenumber) AS lines FROM lineitem GROUP BY 1)
+SELECT t.episode, t.role, CASE WHEN reason IS NULL THEN n END AS frames, CASE WHEN reason IS NULL THEN pixels END AS pixels, CASE WHEN reason IS NULL THEN 0 END AS seed_frame, reason FROM (SELECT t.*, pixels, CASE WHEN k % 11 = 0 THEN 'manifest' WHEN k % 13 = 0 THEN 'task' WHEN k % 17 = 0 THEN 'frame_count' WHEN k % 19 = 0 AND role = 'target' THEN 'role' WHEN k % 23 = 0 AND role = 'receiver' THEN 'role'
+WHEN k % 5 = 1 THEN 'status' WHEN k % 29 = 0 THEN 'track' WHEN k % 31 = 0 THEN 'frames' WHEN k % 37 = 0 THEN 'seed_frame' WHEN k % 41 = 0 AND role = 'target' THEN 'seed' END AS reason FROM t JOIN p USING (episode)) t""")
+def stage_rehydrate(spark, d):
+    """Saved roles of every order's episode put together again, or why they can't be."""
+    o, k = src.table(spark, d, "orders").select(c("o_orderkey").alias("episode"), c("o_custkey").alias("k")), c("k")
+    at = F.row_number().over(sequence.Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount", "l_extendedprice")) - 1
+    lines = src.table(spark, d, "lineitem").select(c("l_orderkey").alias("episode"), at.alias("frame"), F.array(F.when(c("l_suppkey") % 2 == 1, 3).otherwise(1).cast("bigint")).alias("mask")).join(o, "episode")
+    e = lines.groupBy("episode", "k").agg(F.count("*").alias("frames"))
+    expected = e.select("episode", F.lit("cup").alias("task"), F.lit("front").alias("camera"), "frames")
+    manifests = e.where(k % 11 != 0).select("episode", F.when(k % 13 == 0, "pan").otherwise("cup").alias("task"), F.lit("front").alias("camera"), (c("frames") + F.when(k % 17 == 0, 1).otherwise(0)).alias("frame_count"))
+    each = e.select("episode", "k", F.explode(F.array(F.lit("target"), F.lit("receiver"))).alias("role"))
+    name = F.concat_ws("/", c("episode").cast("string"), "role")
+    one = each.where(~((k % 19 == 0) & (c("role") == "target"))).select("episode", "role", F.lit("ok").alias("status"), F.when(k % 5 == 1, "failed").otherwise("passed").alias("qc_status"), name.alias("track"), name.alias("seed"), F.when(k % 37 == 0, 99).otherwise(0).alias("seed_frame"), "k")
+    roles = one.unionByName(one.where((k % 23 == 0) & (c("role") == "receiver"))).drop("k")
+    tracks = lines.where((k % 29 != 0) & ~((k % 31 == 0) & (c("frame") == 0))).unionByName(lines.where((k % 31 == 0) & (k % 29 != 0) & (c("frame") == 0)).withColumn("frame", F.lit(-1)))
+    tracks = tracks.select(F.explode(F.array(*(F.concat_ws("/", c("episode").cast("string"), F.lit(r)) for r in ("target", "receiver")))).alias("track"), "frame", "mask")
+    seeds = each.select(name.alias("seed"), F.array(F.when((k % 41 == 0) & (c("role") == "target"), 0).otherwise(1).cast("bigint")).alias("mask"))
+    return stages.rehydrated(manifests, roles, tracks, seeds, expected, ("target", "receiver"))
+
+
+_SEEDED = ORACLES["temporal_qc_window"].replace("WHERE frame = 3 AND episode % 2 = 0", "WHERE frame = 3 AND episode % 3 <> 1")
+
+
+@query(f"""WITH {_BITS}, q AS ({_SEEDED}), sd AS (SELECT episode, count(*) AS seed FROM wh WHERE frame = 3 AND episode % 3 <> 1 GROUP BY 1), n AS (SELECT episode, count(CASE WHEN frame BETWEEN 2 AND 20 + episode % 10 THEN 1 END) AS frames FROM bm GROUP BY 1), p AS (SELECT episode, count(*) AS pixels FROM wh WHERE frame BETWEEN 2 AND 20 + episode % 10 GROUP BY 1),
+x AS (SELECT n.episode, n.frames, coalesce(pixels, 0) AS pixels, coalesce(seed, 0) AS seed, q.status AS qc, CASE WHEN coalesce(seed, 0) = 0 THEN 'empty_text_seed' WHEN coalesce(pixels, 0) = 0 THEN 'native_track_empty_in_output_window' WHEN q.status = 'quarantine' THEN 'temporal_qc_quarantine:' || issues WHEN n.episode % 4 = 2 THEN 'identity_qc_reject:wrong object' END AS failure FROM n LEFT JOIN q USING (episode) LEFT JOIN sd USING (episode) LEFT JOIN p USING (episode))
+SELECT 'run2' AS run, episode, CASE WHEN episode % 2 = 0 THEN 'target' ELSE 'receiver' END AS role, CASE WHEN failure IS NULL THEN 'ok' WHEN starts_with(failure, 'temporal') OR starts_with(failure, 'identity') THEN 'quarantined' ELSE 'failed' END AS status, failure, frames, CASE WHEN failure IS NULL THEN pixels ELSE 0 END AS pixels, CASE WHEN seed > 0 THEN qc END AS qc_status FROM x""")
+def derived_run_qc(spark, d):
+    """A run derived from saved tracks: new windows, checks of its own, the review's word, and a digest of each source."""
+    role = F.when(c("episode") % 2 == 0, "target").otherwise("receiver").alias("role")
+    m = _wide(spark, d).select("episode", role, "frame", "mask")
+    seed = m.where("frame = 3 and episode % 3 <> 1").select("episode", c("mask").alias("seed"))
+    roles = m.select("episode", "role").distinct().join(seed, "episode", "left").select("episode", "role", F.lit(2).alias("start"), (20 + c("episode") % 10).alias("end"), "seed")
+    said = roles.select("episode", "role", F.when(c("episode") % 4 == 2, "reject").otherwise("accept").alias("decision"), F.lit(" wrong  object").alias("reason"))
+    return stages.derived_roles(m, roles, said, 2, "run2").drop("source")

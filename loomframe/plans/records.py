@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bitmaps, joints
 from ..sources import adapters as src
-from ..sources import archives, contexts, publication
+from ..sources import archives, catalogs, contexts, episodes, publication, sinks
 from ..streaming import run_state
 from .catalog import _KIND, _masks, _state_folder, query
 
@@ -207,3 +208,47 @@ def archive_scan(spark, d):
         raise ValueError("an episode could not be written")
     s = archives.scan(spark, folder, columns=("episode", "channel", "frame", "code", "mask"))
     return s.groupBy("episode", "channel").agg(F.count("*").alias("frames"), F.sum(bitmaps.area(c("mask"))).alias("pixels"), F.count_if(c("code") == 1).alias("visible"), F.count_if(c("code") == 2).alias("held"))
+
+
+# --- catalogs, trees of files, receipts
+
+_ALIASES = [("target", ["Brand#12"], ["brass", "tin"], ["brass part", "{color} tin"]), ("receiver", [], ["small", "large"], ["sized part"]), ("target", [], ["steel"], ["metal cup"]), ("receiver", ["Brand#13", "Brand#21"], [], ["tray"])]
+_ALIAS_SQL = ", ".join(f"({i}, '{r}', {t}::VARCHAR[], {w}::VARCHAR[], {a}::VARCHAR[])" for i, (r, t, w, a) in enumerate(_ALIASES))
+
+
+@query(f"""WITH r(rule_idx, role, tasks, words, aliases) AS (VALUES {_ALIAS_SQL}), p AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'target' ELSE 'receiver' END AS role, p_brand AS task, string_split(lower(p_type || ' ' || p_name), ' ') AS words FROM part),
+m AS (SELECT p.id, min(rule_idx) AS rule_idx, arg_min(aliases, rule_idx) AS aliases FROM p JOIN r ON r.role = p.role AND (list_contains(r.tasks, p.task) OR list_has_any(p.words, r.words)) GROUP BY 1)
+SELECT p.id, rule_idx::INT AS rule_idx, array_to_string(aliases, ',') AS aliases FROM p LEFT JOIN m USING (id)""")
+def alias_catalog(spark, d):
+    """A catalog of rules read from its file, and the rule that every part's query takes."""
+    folder = _fresh(spark)
+    text = json.dumps({"format_version": catalogs.FORMAT, "rules": [dict(zip(("role", "tasks", "query_words", "aliases"), r, strict=True)) for r in _ALIASES]})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
+    known = catalogs.as_literal(catalogs.rules(spark, folder))
+    words = F.split(F.lower(F.concat_ws(" ", "p_type", "p_name")), " ")
+    p = src.table(spark, d, "part").select(c("p_partkey").alias("id"), F.when(c("p_partkey") % 2 == 0, "target").otherwise("receiver").alias("role"), c("p_brand").alias("task"), words.alias("words"))
+    return catalogs.matched(p, known).select("id", "rule_idx", F.array_join("aliases", ",").alias("aliases"))
+
+
+@query("SELECT o_orderstatus AS run, o_orderpriority AS task, 1::BIGINT AS files, false AS empty FROM orders GROUP BY 1, 2")
+def tree_scan(spark, d):
+    """A tree of files listed without reading them: how many there are of each run and task."""
+    folder = _fresh(spark)
+    o = src.table(spark, d, "orders").select(c("o_orderkey").alias("episode"), c("o_orderstatus").alias("run"), c("o_orderpriority").alias("task"))
+    o.repartition("run", "task").write.partitionBy("run", "task").parquet(folder)
+    part = lambda n: F.url_decode(F.regexp_extract("path", rf"/{n}=([^/]+)/", 1)).alias(n)
+    files = episodes.listing(spark, folder, "*.parquet").select(part("run"), part("task"), "bytes")
+    # a file's path is encoded once by the partition's name and once as a URI
+    return files.groupBy(F.url_decode("run").alias("run"), F.url_decode("task").alias("task")).agg(F.count("*").alias("files"), (F.min("bytes") == 0).alias("empty"))
+
+
+@query("SELECT o_orderkey AS episode, CASE WHEN o_orderkey % 50 = 0 THEN 'missing' WHEN o_orderkey % 50 = 1 THEN 'extra' ELSE 'changed' END AS change FROM orders WHERE o_orderkey % 50 < 2 OR (o_orderkey % 50 = 2 AND o_orderstatus <> 'F') OR (o_orderkey % 50 = 3 AND o_orderstatus = 'F')")
+def write_receipts(spark, d):
+    """Partitions replaced by a second write, and what differs from the receipts of what there should be."""
+    folder, k = _fresh(spark), c("episode")
+    o = src.table(spark, d, "orders").select(c("o_orderkey").alias("episode"), c("o_orderstatus").alias("run"), c("o_custkey").alias("frames"))
+    first = o.where(k % 50 != 0)
+    sinks.publish(first, folder, "run")
+    sinks.publish(first.where("run = 'F'").withColumn("frames", F.when(k % 50 == 3, -1).otherwise(c("frames"))), folder, "run")
+    expected = o.where(k % 50 != 1).withColumn("frames", F.when((k % 50 == 2) & (c("run") != "F"), -2).otherwise(c("frames")))
+    return sinks.verified(spark, folder, expected, "episode", ("episode", "frames"))
