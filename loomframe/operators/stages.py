@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import responses
 from . import bitmaps
 
 c = F.col
@@ -62,3 +63,27 @@ def derived_roles(frames: DataFrame, roles: DataFrame, reviews: DataFrame, words
     status = F.when(c("failure").isNull(), "ok").when(c("failure").startswith("temporal") | c("failure").startswith("identity"), "quarantined").otherwise("failed")
     judged = every.withColumn("failure", failure).withColumn("status", status)
     return judged.select(F.lit(run).alias("run"), f"episode.{key}", "episode.role", "status", "failure", "frames", F.when(c("status") == "ok", c("pixels")).otherwise(0).alias("pixels"), F.when(c("__seed") > 0, c("qc_status")).alias("qc_status"), "source")
+
+
+def visual_reports(candidates: DataFrame, answers: DataFrame, keys: list[str], most_attempts: int, min_confidence: float) -> DataFrame:
+    """What a model's look at a seed's candidates comes to: keys, status, selected, confidence, reason.
+
+    candidates: (keys, candidate, valid); answers: (keys, attempt, answer, error), attempts from 1, an answer or why there was
+    none. Without a valid candidate nothing is asked (rejected, basic_checks); the first answer within ``most_attempts`` counts,
+    without one the last error does (error, request: and the error); an answer that can't be read is an error (answer: and
+    what is wrong); what it says is rejected, ambiguous, or passed, ambiguous too below ``min_confidence`` (confidence). Seeds
+    that have answers but no candidates have no row.
+    """
+    asked = candidates.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(c("valid"), c("candidate")))).alias("__valid"))
+    tried = answers.where(c("attempt") <= most_attempts)
+    heard = tried.groupBy(*keys).agg(
+        F.min_by("answer", F.when(c("answer").isNotNull(), c("attempt"))).alias("__answer"), F.max_by("error", F.when(c("answer").isNull(), c("attempt"))).alias("__error"),
+    )
+    both = asked.join(heard, keys, "left").withColumn("__c", responses.candidate_choice(c("__answer"), c("__valid")))
+    choice, none = c("__c"), F.size("__valid") == 0
+    error = F.coalesce(F.when(c("__answer").isNull(), F.concat(F.lit("request:"), F.coalesce("__error", F.lit("none")))), F.concat(F.lit("answer:"), choice["error"]))
+    low = choice["confidence"] < min_confidence
+    status = F.when(none, "rejected").when(error.isNotNull(), "error").when(choice["decision"] == "reject_all", "rejected").when((choice["decision"] == "ambiguous") | low, "ambiguous").otherwise("passed")
+    reason = F.when(none, "basic_checks").when(error.isNotNull(), error).when((choice["decision"] == "accept") & low, "confidence").otherwise(choice["reason"])
+    judged = both.select(*keys, status.alias("status"), choice["selected"].alias("__s"), choice["confidence"].alias("__f"), reason.alias("reason"))
+    return judged.select(*keys, "status", F.when(c("status") == "passed", c("__s")).alias("selected"), F.when(c("status").isin("passed", "ambiguous") | ((c("status") == "rejected") & (c("reason") != "basic_checks")), c("__f")).alias("confidence"), "reason")

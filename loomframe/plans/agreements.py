@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..operators import bitmaps, contracts, quality, sequence, stages
@@ -241,3 +243,23 @@ def derived_run_qc(spark, d):
     roles = m.select("episode", "role").distinct().join(seed, "episode", "left").select("episode", "role", F.lit(2).alias("start"), (20 + c("episode") % 10).alias("end"), "seed")
     said = roles.select("episode", "role", F.when(c("episode") % 4 == 2, "reject").otherwise("accept").alias("decision"), F.lit(" wrong  object").alias("reason"))
     return stages.derived_roles(m, roles, said, 2, "run2").drop("source")
+
+
+@query("""WITH l AS (SELECT l_orderkey AS episode, count(CASE WHEN l_quantity > 30 THEN 1 END) AS valid, bool_or(l_quantity > 30 AND l_linenumber = 1) AS has_a FROM lineitem GROUP BY 1), k AS (SELECT l.*, l.episode % 13 AS k FROM l),
+x AS (SELECT *, CASE WHEN valid = 0 THEN 'basic_checks' WHEN k = 0 THEN 'request:timeout 3' WHEN k = 1 THEN 'request:none' WHEN k = 2 THEN 'answer:json' WHEN k IN (3, 4, 5, 6, 12) AND NOT has_a THEN 'answer:candidate' WHEN k = 3 THEN 'confidence' WHEN k IN (7, 8) THEN 'two alike' WHEN k = 9 THEN 'none fits' WHEN k = 10 THEN 'answer:missing_selection' WHEN k = 11 THEN 'answer:empty' ELSE 'fits' END AS reason FROM k)
+SELECT episode, CASE WHEN reason = 'basic_checks' OR reason = 'none fits' THEN 'rejected' WHEN contains(reason, ':') THEN 'error' WHEN reason IN ('confidence', 'two alike') THEN 'ambiguous' ELSE 'passed' END AS status, CASE WHEN reason = 'fits' THEN 'A' END AS selected, CASE reason WHEN 'fits' THEN 0.9 WHEN 'confidence' THEN 0.3 WHEN 'two alike' THEN 0.5 WHEN 'none fits' THEN 0.8 END::DOUBLE AS confidence, reason FROM x""")
+def visual_reports(spark, d):
+    """What a model's answers about every order's candidates come to, failed attempts and unreadable answers included."""
+    line = src.table(spark, d, "lineitem").select(c("l_orderkey").alias("episode"), F.char(c("l_linenumber") + 64).alias("candidate"), (c("l_quantity") > 30).alias("valid"))
+    k = c("episode") % 13
+    said = lambda decision, picked, share, why: F.lit(json.dumps({"decision": decision, "selected_candidate": picked, "confidence": share, "reason": why}))
+    text = (
+        F.when(k == 2, "{oops").when(k == 3, said("accept", "a", 0.3, "fits")).when(k.isin(7, 8), said("ambiguous", None, 0.5, "two  alike")).when(k == 9, said("reject_all", None, 0.8, "none fits"))
+        .when(k == 10, said("accept", None, 0.9, "fits")).when(k == 11, "  ").otherwise(said("accept", "A", 0.9, "fits"))
+    )
+    # some are answered at the second attempt, some never or too late
+    turn = F.explode(F.when(k == 1, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.lit(4))))
+    asked = line.select("episode").distinct().select("episode", turn.alias("attempt"))
+    late = ((k == 0) & (c("attempt") < 4)) | ((k == 4) & (c("attempt") == 1))
+    answers = asked.select("episode", "attempt", F.when(~late, text).alias("answer"), F.when(late, F.concat(F.lit("timeout "), c("attempt").cast("string"))).alias("error"))
+    return stages.visual_reports(line, answers, ["episode"], 3, 0.4)

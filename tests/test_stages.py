@@ -94,3 +94,23 @@ def test_yaml(spark, tmp_path):
     found = catalog(spark, tmp_path, f"format_version: {catalogs.FORMAT}\nrules:\n  - role: target\n    tasks: []\n    query_words: [fan]\n    aliases: [desk fan, \"{{color}} fan\"]\n")
     row = found.first()
     assert (row["tasks"], row["query_words"], row["aliases"], row["reason"]) == ([], ["fan"], ["desk fan", "{color} fan"], None)
+
+
+GOOD = {"decision": "accept", "selected_candidate": "A", "confidence": 0.9, "reason": "fits"}
+
+
+@pytest.mark.parametrize(
+    ("valid", "answers", "expected"),
+    [
+        ([True, False], [(1, GOOD, None)], ("passed", "A", 0.9, "fits")), ([False, False], [(1, GOOD, None)], ("rejected", None, None, "basic_checks")), ([True], [], ("error", None, None, "request:none")),
+        ([True], [(1, None, "a"), (2, None, "b"), (3, GOOD, None)], ("error", None, None, "request:b")), ([True], [(1, None, "a"), (2, GOOD, None)], ("passed", "A", 0.9, "fits")),
+        ([False, True], [(1, GOOD, None)], ("error", None, None, "answer:candidate")), ([True], [(1, GOOD | {"confidence": 0.2}, None)], ("ambiguous", None, 0.2, "confidence")),
+        ([True], [(1, GOOD | {"decision": "reject_all", "selected_candidate": None}, None)], ("rejected", None, 0.9, "fits")), ([True], [(1, GOOD | {"decision": "ambiguous", "selected_candidate": None, "confidence": 0.1}, None)], ("ambiguous", None, 0.1, "fits")),
+        ([True], [(2, GOOD | {"confidence": 0.1}, None), (1, "{", None)], ("error", None, None, "answer:json")),
+    ],
+)
+def test_reports_of_a_look_at_candidates(spark, valid, answers, expected):
+    seen = spark.createDataFrame([(1, chr(65 + i), v) for i, v in enumerate(valid)], "seed int, candidate string, valid boolean")
+    said = spark.createDataFrame([(1, n, json.dumps(a) if isinstance(a, dict) else a, e) for n, a, e in answers], "seed int, attempt int, answer string, error string")
+    row = stages.visual_reports(seen, said, ["seed"], 2, 0.5).first()
+    assert tuple(row)[1:] == expected
