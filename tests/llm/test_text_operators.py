@@ -455,5 +455,5 @@ def test_contained_items(spark, docs, rows):
 def test_every_query_is_registered():
     import __spark_entry__
 
-    assert {int(m[1]) for n in __spark_entry__.queries() if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in __spark_entry__.queries() if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
