@@ -55,7 +55,7 @@ def _json_text() -> str:
     events = f"""'"active_arm":"' || CASE WHEN k = 4 THEN 'both' WHEN id % 5 = 0 THEN 'left' ELSE 'right' END || '",' || CASE WHEN tgt = 1 THEN '"t_remove_start":' || {s("m")} || ',"t_close_start":' || {s("cs")} || ',"t_close_end":' || {s("cd")}
     ELSE '"t_move_start":' || CASE WHEN k = 5 THEN 'true' WHEN k = 6 THEN '-1' ELSE {s("m")} END || ',"t_close_start":' || {s("cs")} || ',"t_close_done":' || {s("cd")} || ',"t_open_start":' || {s("os")} || ',"t_open_done":' || {s("od")} END || CASE WHEN k = 7 THEN ',"more":1' ELSE '' END"""
     windows = f"""CASE WHEN {one} THEN '"loop":' ELSE '"operation":' END || {pairs["op"]} || ',"target_0":' || {pairs["tg"]} || ',"receiver_0":' || {pairs["rc"]} || CASE WHEN v = 1 AND k % 2 = 0 THEN '' WHEN k = 8 THEN ',"gripper":[0,0]' WHEN k = 9 THEN ',"gripper":null' ELSE ',"gripper":' || {pairs["op"]} END"""
-    head = f"""'"format_version":"robotwin_loop_context_v' || {s("CASE WHEN k = 10 THEN 9 ELSE v END")} || '","episode":' || CASE WHEN k = 11 THEN '[]' ELSE '{{"task":"' || CASE WHEN k = 12 THEN 'pan' ELSE 'cup' END || '","episode_index":' || {s("id")} || CASE WHEN k = 13 THEN '.0' ELSE '' END || ',"episode_id":"' || CASE WHEN k = 14 THEN '' ELSE lpad({s("id")}, 6, '0') END || '","camera":"' || CASE WHEN k = 15 THEN 'side' ELSE 'front' END || '"}}' END
+    head = f"""'"format_version":"loop_context_v' || {s("CASE WHEN k = 10 THEN 9 ELSE v END")} || '","episode":' || CASE WHEN k = 11 THEN '[]' ELSE '{{"task":"' || CASE WHEN k = 12 THEN 'pan' ELSE 'cup' END || '","episode_index":' || {s("id")} || CASE WHEN k = 13 THEN '.0' ELSE '' END || ',"episode_id":"' || CASE WHEN k = 14 THEN '' ELSE lpad({s("id")}, 6, '0') END || '","camera":"' || CASE WHEN k = 15 THEN 'side' ELSE 'front' END || '"}}' END
     || ',"frame_count":' || CASE WHEN k = 16 THEN '0' WHEN k = 17 THEN '"9"' ELSE {s("n")} END || CASE WHEN tgt = 1 THEN ',"annotation_mode":"target_only"' WHEN k = 18 THEN ',"annotation_mode":"other"' WHEN k = 34 THEN ',"annotation_mode":"pick_place"' ELSE '' END"""
     rest = """CASE WHEN v = 1 AND k <> 19 THEN '' WHEN k = 20 THEN '' WHEN k = 19 THEN ',"required_object_roles":["receiver"]' WHEN tgt = 1 THEN ',"required_object_roles":["target"]' ELSE ',"required_object_roles":["target","receiver"]' END || CASE WHEN v = 1 THEN '' WHEN k = 22 THEN ',"timeline_kind":"loop"' WHEN tgt = 1 THEN ',"timeline_kind":"close_hold"' ELSE ',"timeline_kind":"pick_place"' END"""
     whole = f"""'{{' || {head} || {rest} || ',"events":' || CASE WHEN k = 23 THEN 'null' ELSE '{{' || {events} || '}}' END || ',"windows":' || CASE WHEN k = 24 THEN '7' ELSE '{{' || {windows} || '}}' END || '}}'"""
@@ -70,7 +70,7 @@ def _contexts_sql() -> str:
     names = ("t_move_start", "t_close_start", "t_close_done", "t_open_start", "t_open_done", "t_remove_start", "t_close_end")
     keys = lambda p: f"list_sort(json_keys(j, '$.{p}'))"
     return f"""WITH s AS (SELECT {', '.join(_CASES)} FROM events), t AS (SELECT id, {_json_text()} AS value FROM s), p AS (SELECT id, value, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM t),
-    r AS (SELECT id, j, json_type(j) AS top, try_cast(regexp_extract(j->>'$.format_version', '^robotwin_loop_context_v([123])$', 1) AS INT) AS version, coalesce(j->>'$.annotation_mode', 'pick_place') AS mode, {typed("episode")} AS et, j->>'$.episode.task' AS task, {whole("episode.episode_index")} AS ei, j->>'$.episode.episode_id' AS eid, j->>'$.episode.camera' AS cam,
+    r AS (SELECT id, j, json_type(j) AS top, try_cast(regexp_extract(j->>'$.format_version', '^loop_context_v([123])$', 1) AS INT) AS version, coalesce(j->>'$.annotation_mode', 'pick_place') AS mode, {typed("episode")} AS et, j->>'$.episode.task' AS task, {whole("episode.episode_index")} AS ei, j->>'$.episode.episode_id' AS eid, j->>'$.episode.camera' AS cam,
     {whole("frame_count")} AS frames, {typed("required_object_roles")} AS rt, (j->'$.required_object_roles')::VARCHAR AS roles, {typed("events")} AS vt, j->>'$.events.active_arm' AS arm, {typed("windows")} AS wt, j->>'$.timeline_kind' AS kind, {", ".join(f"{whole('events.' + n)} AS {n}" for n in names)},
     {keys("events")} AS ek, {keys("windows")} AS wk, {", ".join(f"{pair(n)} AS w_{n}" for n in ("loop", "operation", "target_0", "receiver_0", "gripper"))}, {typed("windows.receiver_0")} AS rct, {typed("windows.gripper")} AS gt FROM p),
     e AS (SELECT *, mode = 'pick_place' AS lp, CASE WHEN mode = 'pick_place' THEN t_move_start ELSE t_remove_start END AS a, CASE WHEN mode = 'pick_place' THEN t_close_done ELSE t_close_end END AS b FROM r),

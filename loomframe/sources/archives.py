@@ -18,8 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
-#: Names of versions, channels, roles, statuses and arrays in archives: fixed values.
-V3, V2 = "robotwin_visible_masks_v3", "robotwin_visible_masks_v2"
+#: What a version's name ends with; what stands before it is a project's own.
+VERSION = re.compile(r"(?:\w+_)?visible_masks_v([23])")
+#: Versions as they are written without a project's name.
+V3, V2 = "visible_masks_v3", "visible_masks_v2"
+#: Names of channels, roles and arrays in archives: fixed values.
 CHANNELS = ("target_0", "receiver_0", "gripper_left", "gripper_right")
 ROLES = ("target", "receiver", "gripper", "gripper")
 BASE = frozenset({"annotation_status", "format_version", "frame_count", "instance_names", "masks", "qc_status", "roles"})
@@ -66,7 +69,8 @@ def archive(arrays: dict[str, np.ndarray], mode: str, frames: int | None = None,
     if needed - set(arrays):
         return "keys", {}
     label = arrays["format_version"]
-    version = {V2: 2, V3: 3}.get(str(label.item())) if label.ndim == 0 and (not strict or label.dtype.kind == "U") else None
+    known = VERSION.fullmatch(str(label.item())) if label.ndim == 0 and (not strict or label.dtype.kind == "U") else None
+    version = int(known[1]) if known else None
     if version is None and mode != "channels":
         return "version", {}
     if strict and set(arrays) != BASE | ({"frame_encoding"} if version == 3 else set()):

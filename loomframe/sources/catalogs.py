@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A catalog's format and the roles of its rules: fixed values.
-FORMAT = "robotwin_open_set_query_aliases_v1"
+#: A catalog's format, with or without a project's name before it, and the roles of its rules: fixed values.
+FORMAT = "open_set_query_aliases_v1"
 ROLES = ("target", "receiver")
 RULES = "rule_idx int, role string, tasks array<string>, query_words array<string>, aliases array<string>, reason string"
 
@@ -39,7 +40,7 @@ def rules(spark: SparkSession, path: str) -> DataFrame:
     so that it is parsed where the job is planned.
     """
     raw = parsed(spark.read.text(path, wholetext=True).first()[0])
-    if not isinstance(raw, dict) or raw.get("format_version") != FORMAT or not isinstance(raw.get("rules"), list):
+    if not isinstance(raw, dict) or not re.fullmatch(rf"(?:\w+_)?{FORMAT}", str(raw.get("format_version"))) or not isinstance(raw.get("rules"), list):
         raise ValueError(f"not a catalog of aliases: {path}")
     rows = []
     for i, entry in enumerate(raw["rules"]):

@@ -9,8 +9,9 @@ from ..functions import text
 from ..operators import timeline
 
 c = F.col
-#: Names of versions, keys and modes in recordings: fixed values.
-VERSIONS = ("robotwin_loop_context_v1", "robotwin_loop_context_v2", "robotwin_loop_context_v3")
+#: What a version's name ends with; what stands before it is a project's own.
+VERSION = r"^(?:\w+_)?loop_context_v([123])$"
+#: Keys and modes in recordings: fixed values.
 PICK_PLACE, TARGET_ONLY = "pick_place", "target_only"
 ROLES = {PICK_PLACE: ("target", "receiver"), TARGET_ONLY: ("target",)}
 KINDS = {PICK_PLACE: "pick_place", TARGET_ONLY: "close_hold"}
@@ -67,7 +68,7 @@ def decoded(recordings: DataFrame) -> DataFrame:
     given = recordings.columns
     v = recordings.withColumn("__v", text.whole_json(c("value")))
     steps = {
-        "version": F.array_position(F.array(*map(F.lit, VERSIONS)), _text("format_version")).cast("int"),
+        "version": F.regexp_extract(_text("format_version"), VERSION, 1).try_cast("int"),
         "mode": F.when(_kind("annotation_mode").isNull(), F.lit(PICK_PLACE)).otherwise(_text("annotation_mode")),
         "active_arm": _text("events.active_arm"),
         "frames": _whole("frame_count"),

@@ -67,7 +67,7 @@ def recording(version, mode="pick_place", **changes):
     events = {"active_arm": "right", "t_move_start": 3, "t_close_start": 5, "t_close_done": 9, "t_open_start": 10, "t_open_done": 14} if loop else {"active_arm": "right", "t_remove_start": 3, "t_close_start": 5, "t_close_end": 9}
     target = [3, 9] if version < 3 or loop else [3, 14]
     windows = {"operation": [3, 14], "target_0": target, "receiver_0": [9, 14] if loop else None, "gripper": [3, 14]}
-    value = {"format_version": f"robotwin_loop_context_v{version}", "episode": {"task": "move_pillbottle_pad", "episode_index": 7152, "episode_id": "007152", "camera": "cam_high"}, "frame_count": 15, "events": events, "windows": windows}
+    value = {"format_version": f"a_project_loop_context_v{version}", "episode": {"task": "move_pillbottle_pad", "episode_index": 7152, "episode_id": "007152", "camera": "cam_high"}, "frame_count": 15, "events": events, "windows": windows}
     if version == 1:
         windows["loop"] = windows.pop("operation")
         del windows["gripper"]
