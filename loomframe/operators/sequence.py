@@ -45,17 +45,18 @@ def motion_score(xyz: Column, rpy: Column, xyz_before: Column, rpy_before: Colum
     return norm(F.zip_with(xyz, xyz_before, lambda a, b: a - b)) + rotation * norm(turn)
 
 
-def motion_start(scored: DataFrame, floor: float = 0.002, factor: float = 4.0, stable: int = STABLE) -> DataFrame:
+def motion_start(scored: DataFrame, floor: float = 0.002, factor: float = 4.0, stable: int = STABLE, margin: float = 0.0) -> DataFrame:
     """First stable motion before closing: rows (episode, threshold, move_start) from (episode, frame, score, close_start).
 
     score is that of the step into a frame, null at frame 0. The threshold is the median of the first scores plus
-    ``factor`` deviations, ``floor`` at least; motion at or after close_start counts as none.
+    ``factor`` deviations, ``floor`` at least; motion at or after close_start counts as none. A score must be above it by more
+    than ``margin``, so that one equal to it isn't told from it by rounding.
     """
     base = scored.where(F.col("score").isNotNull() & (F.col("frame") <= F.greatest(F.lit(1), F.least(F.col("close_start"), F.lit(3)))))
     middle = base.groupBy("episode").agg(F.percentile("score", F.lit(0.5)).alias("median"))
     spread = base.join(middle, "episode").groupBy("episode", "median").agg(F.percentile(F.abs(F.col("score") - F.col("median")), F.lit(0.5)).alias("mad"))
     limits = spread.select("episode", F.greatest(F.col("median") + factor * F.col("mad"), F.lit(floor)).alias("threshold"))
-    moved = scored.join(limits, "episode").withColumn("run", run_of(F.coalesce(F.col("score") > F.col("threshold"), F.lit(False)), by_frame(), stable))
+    moved = scored.join(limits, "episode").withColumn("run", run_of(F.coalesce(F.col("score") > F.col("threshold") + margin, F.lit(False)), by_frame(), stable))
     found = moved.groupBy("episode", "threshold", "close_start").agg(F.min(F.when(F.col("run") & (F.col("frame") >= 1), F.col("frame"))).alias("run_start"))
     return found.select("episode", "threshold", F.least(F.col("run_start"), F.col("close_start")).alias("move_start"))
 

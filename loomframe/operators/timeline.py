@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .sequence import CLOSED, OPEN, STABLE, by_frame, loop_events, motion_score, motion_start, target_only_events
 
 c = F.col
+#: Scores of motion that differ by less are equal.
+MARGIN = 1e-9
 
 
 def _with_motion(frames: DataFrame, events: DataFrame, stable: int) -> DataFrame:
@@ -15,7 +17,7 @@ def _with_motion(frames: DataFrame, events: DataFrame, stable: int) -> DataFrame
     w = by_frame()
     scored = frames.withColumn("score", motion_score(c("xyz"), c("rpy"), F.lag("xyz").over(w), F.lag("rpy").over(w)))
     closing = events.where("close_start is not null").select("episode", "close_start")
-    moved = motion_start(scored.join(closing, "episode").select("episode", "frame", "score", "close_start"), stable=stable)
+    moved = motion_start(scored.join(closing, "episode").select("episode", "frame", "score", "close_start"), stable=stable, margin=MARGIN)
     return events.join(moved.select("episode", "move_start"), "episode", "left").withColumn("move_start", F.coalesce("move_start", "close_start"))
 
 

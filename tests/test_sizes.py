@@ -35,3 +35,8 @@ def same_as_sql(spark, folder: str, name: str) -> None:
 
 def test_paths_of_wide_numbers(spark, grown):
     same_as_sql(spark, grown(orders="SELECT * REPLACE (o_orderkey * 997 AS o_orderkey) FROM orders LIMIT 3000"), "path_resolution")
+
+
+@pytest.mark.parametrize("name", ["target_only_timeline", "pick_place_timeline"])
+def test_motion_as_strong_as_the_threshold(spark, grown, name):
+    same_as_sql(spark, grown(events="SELECT * REPLACE (event_id + g * 10000 AS event_id) FROM events, range(20) r(g)"), name)
