@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +24,11 @@ COLOR_WORDS = (
 )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def color_of(queries: Column) -> Column:
     """The first colour of two words in any of the queries, else the first word that is a colour; null if there is none."""
     phrase = F.get(F.filter(F.array(*map(F.lit, COLOR_PHRASES)), lambda p: F.exists(queries, lambda q: F.contains(q, p))), 0)
@@ -131,4 +138,4 @@ def repaired_order(order: Column, known: Column, last: str) -> Column:
 def whole_json(value: Column) -> Column:
     """A JSON text as a variant; null if it isn't exactly one value (Spark's parser alone takes no notice of what follows it)."""
     listed = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
-    return F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
+    return once(listed, lambda x: F.when(F.try_variant_get(x, "$[1]", "variant").isNull(), F.try_variant_get(x, "$[0]", "variant")))

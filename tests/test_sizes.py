@@ -40,3 +40,19 @@ def test_paths_of_wide_numbers(spark, grown):
 @pytest.mark.parametrize("name", ["target_only_timeline", "pick_place_timeline"])
 def test_motion_as_strong_as_the_threshold(spark, grown, name):
     same_as_sql(spark, grown(events="SELECT * REPLACE (event_id + g * 10000 AS event_id) FROM events, range(20) r(g)"), name)
+
+
+def times_in_plan(frame, word: str) -> int:
+    """How often the optimized plan has a word."""
+    return frame._jdf.queryExecution().optimizedPlan().toString().count(word)
+
+
+@pytest.mark.parametrize(("name", "most"), [("choice_answers", 1), ("box_answers", 2)])
+def test_answers_are_read_once(spark, name, most):
+    assert times_in_plan(catalog.QUERIES[name](spark, DATA), "from_json(") <= most
+
+
+def test_recordings_are_read_once(spark):
+    plan = catalog.QUERIES["loop_contexts"](spark, DATA)
+    assert times_in_plan(plan, "parseJson(") == 1
+    assert times_in_plan(plan, "get_json_object(") == 0
