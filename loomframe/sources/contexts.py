@@ -41,8 +41,9 @@ def _pair(name: str) -> Column:
     return F.when(_kind(f"windows.{name}") == "ARRAY<BIGINT>", F.try_variant_get("__v", f"$.windows.{name}", "array<bigint>"))
 
 
-def _keys(value: Column, path: str) -> Column:
-    return F.array_sort(F.json_object_keys(F.get_json_object(value, f"$.{path}")))
+def _keys(path: str | None = None) -> Column:
+    """Sorted keys of an object; null if there is something else or nothing."""
+    return F.array_sort(F.map_keys(F.try_variant_get("__v", f"$.{path}" if path else "$", "map<string,variant>")))
 
 
 def _listed(*names: str) -> Column:
@@ -72,7 +73,7 @@ def decoded(recordings: DataFrame) -> DataFrame:
         "mode": F.when(_kind("annotation_mode").isNull(), F.lit(PICK_PLACE)).otherwise(_text("annotation_mode")),
         "active_arm": _text("events.active_arm"),
         "frames": _whole("frame_count"),
-        "__kinds": F.struct(*(_kind(p).alias(p) for p in ("episode", "events", "windows"))),
+        "__keys": F.struct(*(_keys(p).alias(p) for p in ("episode", "events", "windows"))),
         "__kind": _text("timeline_kind"),
         "__roles": F.when(_kind("required_object_roles") == "ARRAY<STRING>", F.try_variant_get("__v", "$.required_object_roles", "array<string>")),
         "__no_roles": ~_present("required_object_roles"),
@@ -80,9 +81,8 @@ def decoded(recordings: DataFrame) -> DataFrame:
         "__e": F.struct(*(_whole(f"events.{n}").alias(n) for n in dict.fromkeys(EVENTS[PICK_PLACE] + EVENTS[TARGET_ONLY]))),
         "__w": F.struct(*(_pair(n).alias(n) for n in ("loop", *WINDOWS))),
         "__has": F.struct(*(_present(f"windows.{n}").alias(n) for n in ("receiver_0", "gripper"))),
-        "__event_keys": _keys(c("value"), "events"),
-        "__window_keys": _keys(c("value"), "windows"),
-        "__top": F.schema_of_variant("__v"),
+        "__no_json": c("__v").isNull(),
+        "__object": _keys().isNotNull(),
     }
     read = v.select("*", *(e.alias(n) for n, e in steps.items())).drop("__v")
     loop, first = c("mode") == PICK_PLACE, c("version") == 1
@@ -93,27 +93,26 @@ def decoded(recordings: DataFrame) -> DataFrame:
     timed = timeline.hold_window(timeline.recorded_windows(read.withColumns(e), c("version") == 3))
 
     order = F.when(loop, timeline.order_reason(*(c(n) for n in e))).otherwise(timeline.order_reason(*(c(n) for n in tuple(e)[:3])))
-    kinds, by_mode = c("__kinds"), lambda d: F.when(loop, d[PICK_PLACE]).otherwise(d[TARGET_ONLY])
+    keys, by_mode = c("__keys"), lambda d: F.when(loop, d[PICK_PLACE]).otherwise(d[TARGET_ONLY])
     identity = {"task": c("task"), "episode_index": c("episode"), "episode_id": F.lpad(c("episode").cast("string"), 6, "0"), "camera": c("camera")}
     differs = lambda name, window: ~F.when(c(window).isNotNull(), F.array(c(window)["start"], c(window)["end"])).eqNullSafe(c("__w")[name])
     exact = [
-        F.when(c("__window_keys") != _listed(*WINDOWS), "windows.keys"), F.when(differs("operation", "operation"), "windows.operation"), F.when(differs("target_0", "target_0"), "windows.target_0"),
+        F.when(keys["windows"] != _listed(*WINDOWS), "windows.keys"), F.when(differs("operation", "operation"), "windows.operation"), F.when(differs("target_0", "target_0"), "windows.target_0"),
         F.when(F.when(loop, differs("receiver_0", "receiver_0")).otherwise(c("__has.receiver_0")), "windows.receiver_0"), F.when(differs("gripper", "gripper"), "windows.gripper"),
     ]
     early = [
         F.when(differs("loop", "operation"), "windows.loop"), F.when(differs("target_0", "target_0"), "windows.target_0"), F.when(differs("receiver_0", "receiver_0"), "windows.receiver_0"),
         F.when(c("__has.gripper") & differs("gripper", "gripper"), "windows.gripper"),
     ]
-    is_object = lambda kind: F.coalesce(kind.startswith("OBJECT"), F.lit(False))
     last = F.when(first, c("open_done")).when(~loop, c("close_done"))
     reason = F.coalesce(
-        F.when(c("__top").isNull(), "json"), F.when(~is_object(c("__top")), "object"), F.when(F.coalesce(c("version"), F.lit(0)) == 0, "format_version"), F.when(~is_object(kinds["episode"]), "episode"),
+        F.when(c("__no_json"), "json"), F.when(~c("__object"), "object"), F.when(F.coalesce(c("version"), F.lit(0)) == 0, "format_version"), F.when(keys["episode"].isNull(), "episode"),
         *(F.when(~c("__id")[n].eqNullSafe(x), f"episode.{n}") for n, x in identity.items()),
         F.when(F.coalesce(c("frames"), F.lit(0)) < 1, "frame_count"), F.when(~F.coalesce(c("mode").isin(PICK_PLACE, TARGET_ONLY), F.lit(False)), "annotation_mode"),
         F.when(F.when(c("__no_roles"), ~first).otherwise(~c("__roles").eqNullSafe(by_mode({m: F.array(*map(F.lit, r)) for m, r in ROLES.items()}))), "required_object_roles"),
-        F.when(~is_object(kinds["events"]), "events"), F.when(~F.coalesce(c("active_arm").isin("left", "right"), F.lit(False)), "active_arm"), F.when(~is_object(kinds["windows"]), "windows"),
+        F.when(keys["events"].isNull(), "events"), F.when(~F.coalesce(c("active_arm").isin("left", "right"), F.lit(False)), "active_arm"), F.when(keys["windows"].isNull(), "windows"),
         F.when(first & ~loop, "version"), F.when(~first & ~c("__kind").eqNullSafe(by_mode({m: F.lit(k) for m, k in KINDS.items()})), "timeline_kind"),
-        F.when(c("__event_keys") != by_mode({m: _listed("active_arm", *n) for m, n in EVENTS.items()}), "events.keys"), F.when(order == "missing", "events.numbers"), F.when(order.isNotNull(), "events.order"),
+        F.when(keys["events"] != by_mode({m: _listed("active_arm", *n) for m, n in EVENTS.items()}), "events.keys"), F.when(order == "missing", "events.numbers"), F.when(order.isNotNull(), "events.order"),
         F.when(last >= c("frames"), "events.end"), F.when(first, F.coalesce(*early)).otherwise(F.coalesce(*exact)),
     )
     told = ("version", "mode", "active_arm", "frames", *e, "operation", "target_0", "receiver_0", "gripper", "hold")
