@@ -249,6 +249,21 @@ def test_scores_match_a_plain_sampler(spark):
     spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def test_every_word_is_a_context_of_its_own():
+    data = np.frombuffer(" ".join(f"w{i}" for i in range(200_000)).encode(), np.uint8)
+    w, k, _ = pitman_yor.tokens_of(data, np.array([0, len(data)]))
+    assert len(np.unique(k)) == 200_001
+    assert k[0] == pitman_yor.END and (k[1:] == w[:-1]).all()
+
+
+def test_scores_of_many_contexts_match_a_plain_sampler(spark):
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 80) % 900)) for i in range(40)]
+    expected = plain_scores(texts, set(range(30)))
+    found = as_dict(pitman_yor.score_texts(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), F.col("doc_id") < 30))
+    assert {k: r["score"] for k, r in found.items()} == pytest.approx(expected, rel=1e-9)
+
+
 def test_held_out_texts_are_likelier_than_under_single_words(spark):
     found = queries.op4_pitman_yor(spark, SMALL).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert found[0] > found[1]
