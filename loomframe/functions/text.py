@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,17 +64,26 @@ def query_reason(query: Column, visual_object: bool = False) -> Column:
     )
 
 
-@F.pandas_udf(T.StringType())
-def _ascii(text: pd.Series) -> pd.Series:
-    """Compatibility forms taken apart, and of these what is ASCII: Spark has no such function."""
-    return text.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+def _slugs(length: int) -> Callable[[Column], Column]:
+    """Compatibility forms taken apart, and of these what is ASCII, joined and cut to ``length``: Spark has no such function.
+
+    A text is taken by itself, whole, so that a worker holds one text's forms, not those of all texts of a batch.
+    """
+
+    def one(text: str) -> str:
+        plain = text if text.isascii() else unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
+        return re.sub("[^a-z0-9]+", "_", plain.lower()).strip("_")[:length].rstrip("_")
+
+    @F.arrow_udf(T.StringType())
+    def slugs(texts: pa.Array) -> pa.Array:
+        return pa.array((one(x.as_py()) for x in texts), pa.string(), size=len(texts))
+
+    return slugs
 
 
 def slug(text: Column, length: int = 96, default: str = "task") -> Column:
     """Lower-case ASCII letters and digits joined by underscores, accents dropped."""
-    joined = F.regexp_replace(F.regexp_replace(F.lower(_ascii(F.coalesce(text, F.lit("")))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    cut = F.regexp_replace(F.substring(joined, 1, length), "_+$", "")
-    return F.when(cut == "", default).otherwise(cut)
+    return once(_slugs(length)(F.coalesce(text, F.lit(""))), lambda cut: F.when(cut == "", default).otherwise(cut))
 
 
 def episode_name(number: Column) -> Column:

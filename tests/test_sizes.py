@@ -1,9 +1,13 @@
 """Queries held against their SQL on tables that the small ones don't stand for: wide keys, ties, long groups."""
 
+import tracemalloc
+
 import duckdb
 import pandas as pd
+import pyarrow as pa
 import pytest
 
+from loomframe.functions import text
 from loomframe.plans import catalog
 
 from .conftest import DATA
@@ -56,3 +60,15 @@ def test_recordings_are_read_once(spark):
     plan = catalog.QUERIES["loop_contexts"](spark, DATA)
     assert times_in_plan(plan, "parseJson(") == 1
     assert times_in_plan(plan, "get_json_object(") == 0
+
+
+def test_slugs_hold_one_text_at_a_time():
+    texts = pa.array(["Été à la plage " * 2000] * 100)
+    tracemalloc.start()
+    try:
+        found = text._slugs(96).func(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(found.to_pylist()) == {("ete_a_la_plage_" * 7)[:96].rstrip("_")}
+    assert peak < texts.nbytes / 4
