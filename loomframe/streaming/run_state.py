@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,30 +55,40 @@ class Worker(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.known = handle.getValueState("known", "version int, receipts long, first long, ready long, seq long, error string, status string, error_type string")
-        self.seen = handle.getMapState("seen", "seq long", "at long")
+        self.seen = handle.getListState("seen", "seqs binary")
 
     def _row(self, key, state) -> pd.DataFrame:
         names = ("version", "receipts", "first", "ready", "seq", "error", "status", "error_type")
         now = dict(zip(names, state, strict=True))
-        row = {"episode": key[0], "version": now["version"], "receipts": now["receipts"], "status": now["status"], "error_type": now["error_type"], "error": now["error"] if now["status"] == "failed" else None}
-        return pd.DataFrame([row]).astype({"error_type": object, "error": object})
+        error = now["error"] if now["status"] == "failed" else None
+        texts = {n: np.array([v], object) for n, v in (("status", now["status"]), ("error_type", now["error_type"]), ("error", error))}
+        return pd.DataFrame({"episode": [key[0]], "version": [now["version"]], "receipts": [now["receipts"]], **texts})
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        version, receipts, first, ready, seq, error, status, kind = self.known.get() if self.known.exists() else (0, 0, None, None, None, None, "pending", None)
-        for frame in rows:
-            for at, number, state, failure in zip(frame["at"].astype("int64") // 1000, frame["seq"], frame["status"], frame["error"], strict=True):
-                at, number, failure = int(at), int(number), failure if isinstance(failure, str) else None
-                if self.seen.containsKey((number,)):
-                    continue
-                self.seen.updateValue((number,), (at,))
-                receipts += 1
-                first = at if first is None else min(first, at)
-                if state in READY and (ready is None or (at, number) < (ready, seq)):
-                    ready, seq, error = at, number, failure
+        known = self.known.get()
+        version, receipts, first, ready, seq, error, status, kind = known or (0, 0, None, None, None, None, "pending", None)
+        # the state is asked and told once for all rows that come together, not for each
+        frames = list(rows)
+        numbers, at = (np.concatenate([f[n].to_numpy(t) for f in frames]) for n, t in (("seq", "int64"), ("at", "datetime64[us]")))
+        new = np.unique(numbers, return_index=True)[1]
+        if known:
+            before = [np.frombuffer(x[0], np.int64) for x in self.seen.get()]
+            new = new[~np.isin(numbers[new], np.concatenate(before))] if before else new
+        if len(new):
+            at = at.astype("int64")
+            self.seen.appendValue((numbers[new].tobytes(),))
+            receipts += len(new)
+            first = int(at[new].min()) if first is None else min(first, int(at[new].min()))
+            states, failures = (np.concatenate([f[n].to_numpy(object) for f in frames]) for n in ("status", "error"))
+            fit = new[np.isin(states[new].astype(str), READY)]
+            if len(fit):
+                best = int(fit[np.lexsort((numbers[fit], at[fit]))[0]])
+                if ready is None or (int(at[best]), int(numbers[best])) < (ready, seq):
+                    ready, seq, error = int(at[best]), int(numbers[best]), failures[best] if isinstance(failures[best], str) else None
         if kind != UNAVAILABLE:
             in_time = ready is not None and ready - first <= self.deadline * 1000
             status, kind = ("pending", None) if not in_time else ("complete", None) if error is None else ("failed", "SourceFailed")
-            for timer in list(self.handle.listTimers()):
+            for timer in list(self.handle.listTimers()) if known else ():
                 self.handle.deleteTimer(timer)
             if not in_time:
                 self.handle.registerTimer(first // 1000 + self.deadline)

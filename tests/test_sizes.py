@@ -1,6 +1,7 @@
 """Queries held against their SQL on tables that the small ones don't stand for: wide keys, ties, long groups."""
 
 import tracemalloc
+from unittest.mock import MagicMock
 
 import duckdb
 import pandas as pd
@@ -9,6 +10,7 @@ import pytest
 
 from loomframe.functions import text
 from loomframe.plans import catalog
+from loomframe.streaming import run_state
 
 from .conftest import DATA
 from .test_oracles import TABLES, plain
@@ -72,3 +74,16 @@ def test_slugs_hold_one_text_at_a_time():
         tracemalloc.stop()
     assert set(found.to_pylist()) == {("ete_a_la_plage_" * 7)[:96].rstrip("_")}
     assert peak < texts.nbytes / 4
+
+
+def test_worker_asks_its_state_once_for_many_receipts():
+    handle, worker = MagicMock(), run_state.Worker(1000)
+    handle.getValueState.return_value.get.return_value = None
+    handle.getValueState.return_value.exists.return_value = False
+    handle.getMapState.return_value.containsKey.return_value = False
+    worker.init(handle)
+    at = pd.to_datetime(pd.Series(range(2000)), unit="s").astype("datetime64[us]")
+    rows = pd.DataFrame({"at": at, "seq": range(2000), "status": "completed", "error": None})
+    found = next(worker.handleInputRows((7,), iter([rows[:900], rows[900:], rows[:5]]), None)).iloc[0]
+    assert (found["episode"], found["receipts"], found["status"]) == (7, 2000, "complete")
+    assert len(handle.mock_calls) < 20
