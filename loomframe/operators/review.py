@@ -88,9 +88,11 @@ def failures(errors: DataFrame, key: str, version: str) -> DataFrame:
 
 def case_list(cases: DataFrame, known: DataFrame, declared: Column) -> DataFrame:
     """What is wrong with each list of cases (list, episode, declared): repeated, count, unknown; null if nothing."""
-    found = cases.join(known.select("episode").distinct().withColumn("__known", F.lit(True)), "episode", "left")
-    every = found.groupBy("list").agg(F.count("*").alias("n"), F.count_distinct("episode").alias("distinct"), F.max(declared).alias("declared"), F.count_if(c("__known").isNull()).alias("unknown"))
-    return every.select("list", F.when(c("n") != c("distinct"), "repeated").when(c("n") != c("declared"), "count").when(c("unknown") > 0, "unknown").alias("reason"))
+    # what is counted by itself is held by itself: one task has the known episodes or the distinct ones, not both
+    every = cases.groupBy("list").agg(F.count("*").alias("n"), F.count_distinct("episode").alias("distinct"), F.max(declared).alias("declared"))
+    unknown = cases.select("list", "episode").join(known.select("episode"), "episode", "left_anti").select(c("list").alias("__list"), F.lit(True).alias("__unknown")).distinct()
+    both = every.join(unknown, c("list").eqNullSafe(c("__list")), "left")
+    return both.select("list", F.when(c("n") != c("distinct"), "repeated").when(c("n") != c("declared"), "count").when(c("__unknown"), "unknown").alias("reason"))
 
 
 def planned(episodes: DataFrame, parts: dict[str, DataFrame], key: str = "episode") -> DataFrame:

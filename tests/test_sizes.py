@@ -7,8 +7,10 @@ import duckdb
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loomframe.functions import text
+from loomframe.operators import review
 from loomframe.plans import catalog
 from loomframe.streaming import run_state
 
@@ -87,3 +89,11 @@ def test_worker_asks_its_state_once_for_many_receipts():
     found = next(worker.handleInputRows((7,), iter([rows[:900], rows[900:], rows[:5]]), None)).iloc[0]
     assert (found["episode"], found["receipts"], found["status"]) == (7, 2000, "complete")
     assert len(handle.mock_calls) < 20
+
+
+def test_lists_of_cases_count_what_is_unknown_by_itself(spark):
+    assert times_in_plan(catalog.QUERIES["case_lists"](spark, DATA), "Join LeftAnti") == 1
+    cases = spark.createDataFrame([(1, 1, 2), (1, 2, 2), (2, 1, 2), (2, 1, 2), (3, 9, 1), (4, 1, 2), (None, 9, 1)], "list long, episode long, declared int")
+    known = spark.createDataFrame([(1,), (2,), (2,)], "episode long")
+    found = {r["list"]: r["reason"] for r in review.case_list(cases, known, F.col("declared")).collect()}
+    assert found == {1: None, 2: "repeated", 3: "unknown", 4: "count", None: "unknown"}
