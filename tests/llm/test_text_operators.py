@@ -363,6 +363,27 @@ def test_a_passage_whose_parts_occur_alone_before_it(spark):
     assert {(d, p) for d, _, _, p, _, _ in found} == {(11, 10)}
 
 
+def test_passages_that_an_earlier_text_hides(spark):
+    passage = prose(51, 50).split()
+    texts = [(1, f"{prose(53, 40)} {' '.join(passage[2:48])} {prose(54, 40)}")] + [(k, f"{prose(53 + k, 30 + k)} {' '.join(passage)} {prose(63 + k, 40)}") for k in (2, 3)]
+    # a text between two others, near to both, which aren't near to each other
+    middle = prose(71, 60).split()
+    for k, gone in ((11, range(0, 60, 6)), (12, ()), (13, range(3, 60, 6))):
+        texts.append((k, f"{prose(72 + k, 30)} {' '.join(f'x{k}y{i}' if i in gone else w for i, w in enumerate(middle))} {prose(92 + k, 30)}"))
+    texts += [(14, f"{prose(98, 30)} {' '.join(f'x14y{i}' if i % 6 == 3 and i < 45 else w for i, w in enumerate(middle))} {prose(99, 30)}")]
+    found = {(r["doc_id"], r["partner_id"]) for r in chain_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert found >= {(3, 2), (12, 11), (13, 12), (14, 12), (14, 13)}
+
+
+def test_links_of_frequent_seeds(spark):
+    line = prose(31, 16)
+    texts = [(k, f"{prose(200 + k, 30)} {line} {prose(400 + k, 40)}") for k in range(100)]
+    one = prose(32, 60).split()
+    texts += [(200 + k, f"{prose(700 + k, 20)} {' '.join(w if (i + k) % 9 else f'x{k}y{i}' for i, w in enumerate(one))} {line} {prose(800 + k, 20)}") for k in range(6)]
+    found = {(r["doc_id"], r["partner_id"]) for r in chain_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert found == {(200 + b, 200 + a) for b in range(6) for a in range(b)}
+
+
 def test_recall_of_changed_passages(spark):
     rng, texts, planted = np.random.default_rng(8), [], {}
     for n, share in ((n, s) for n in (50, 100) for s in (4, 5, 6, 8, 0.78, 0.85, 0.9) for _ in range(12)):
