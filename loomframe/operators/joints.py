@@ -31,7 +31,9 @@ def _finite(x: Column) -> Column:
 def _vector(text: Column, default: tuple[float, float, float]) -> Column:
     """Three numbers; the default without a text, null if it isn't three finite numbers."""
     parts = F.transform(F.split(F.trim(text), r"\s+"), lambda p: p.try_cast("double"))
-    return F.when(text.isNull(), F.array(*map(F.lit, default))).when((F.size(parts) == 3) & F.forall(parts, _finite), parts)
+    # within a transform the text is split once, though its parts are looked at several times; nothing that isn't finite is less than infinity
+    sound = F.transform(F.array(parts), lambda v: F.when((F.size(v) == 3) & F.forall(v, lambda x: F.abs(x) < float("inf")), v))
+    return F.when(text.isNull(), F.array(*map(F.lit, default))).otherwise(F.get(sound, 0))
 
 
 def models(rows: DataFrame, xml: str = "xml") -> DataFrame:
@@ -64,12 +66,14 @@ def judged(found: DataFrame) -> DataFrame:
     xml, link_names (missing or repeated), joint_names, type, unknown_link, parents (a link with several), vector, axis (of a
     joint that moves), limit, root (not exactly one), unreached (links in a circle).
     """
-    names, children = F.transform("joints", lambda j: j["name"]), F.transform("joints", lambda j: j["child"])
+    # columns, as what is worked out within a lambda is worked out for each of its calls
+    read = found.withColumns({f"__{n}": c(f"joints.{n}") for n in ("name", "child", "parent")})
+    names, children, parents = c("__name"), c("__child"), c("__parent")
     some = lambda test: F.exists("joints", test)
     moving = lambda j: j["kind"] != FIXED
     roots = F.array_except("links", children)
-    ways = F.when(F.size(F.array_distinct(children)) == F.size("joints"), F.transform("links", lambda link: F.struct(link.alias("link"), _way(children, F.transform("joints", lambda j: j["parent"]), link).alias("way"))))
-    with_ways = found.withColumn("__roots", roots).withColumn("ways", ways)
+    ways = F.when(F.size(F.array_distinct(children)) == F.size("joints"), F.transform("links", lambda link: F.struct(link.alias("link"), _way(children, parents, link).alias("way"))))
+    with_ways = read.withColumn("__roots", roots).withColumn("ways", ways)
     reason = F.coalesce(
         F.when(c("links").isNull(), "xml"), F.when((F.size("links") == 0) | F.array_contains("links", "") | (F.size(F.array_distinct("links")) < F.size("links")), "link_names"),
         F.when(F.array_contains(names, "") | (F.size(F.array_distinct(names)) < F.size(names)), "joint_names"), F.when(some(lambda j: ~j["kind"].isin(*TURNING, SLIDING, FIXED)), "type"),
